@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptorium.llm import bpe, secrets
+from scriptorium.llm import bpe, quality, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": secrets.op1_secret_scan,
         "op2_bpe": bpe.op2_bpe,
+        "op6_toxicity": toxicity.op6_toxicity,
+        "op7_quality": quality.op7_quality,
     }
 
 
