@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptorium.llm import bpe, quality, secrets, toxicity
+from scriptorium.llm import bpe, decontaminate, quality, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,8 +15,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_bpe": bpe.op2_bpe,
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_quality": quality.op7_quality,
+        "op8_decontamination": decontaminate.op8_decontamination,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_decontamination": decontaminate.OP8_SQL,
+    }

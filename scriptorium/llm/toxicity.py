@@ -24,7 +24,8 @@ SLOTS = 1 << 20
 BEGINNINGS = (4, 5)
 #: At most so many labelled rows are fitted on, and so many slots kept.
 TRAIN_ROWS, KEPT_SLOTS = 6000, 512
-LEAST_TEXTS, LEAST_Z, LEAST_ODDS = 10, 4.0, 4.0
+#: A kept slot is in so many training texts at least, and in this share of them; its log-odds are so large, also in standard errors.
+LEAST_TEXTS, LEAST_SHARE, LEAST_Z, LEAST_ODDS = 3, 0.0025, 2.3, 3.2
 RANK, STEPS, RATE, L2 = 6, 300, 0.05, 1e-4
 #: How much more a toxic training text counts than another.
 TOXIC_WEIGHT = 3.0
@@ -95,7 +96,7 @@ class FactorizationMachine:
         z = np.log(p / (pos + 1)) - np.log(n / (neg + 1))
         odds = z.astype(np.float32)
         z /= np.sqrt(1 / p + 1 / n)
-        kept = np.flatnonzero((seen.sum(0) >= LEAST_TEXTS) & (z >= LEAST_Z) & (odds >= LEAST_ODDS))
+        kept = np.flatnonzero((seen.sum(0) >= max(LEAST_TEXTS, LEAST_SHARE * len(texts))) & (z >= LEAST_Z) & (odds >= LEAST_ODDS))
         kept = np.sort(kept[np.argsort(-z[kept], kind="stable")][:KEPT_SLOTS])
         if not len(kept):
             return
