@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptorium.llm.common import read, small_batches, staged
-from scriptorium.llm.shingles import SHINGLE, shingle_set
+from scriptorium.llm.shingles import shingle_set, shingles_sql
 
 CONTAINED = 0.8
 #: Shingles of a sketch beyond those that a contained item may miss.
@@ -124,13 +124,6 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "_h.item_id", "_h.n_item", "_h.n_shared", "_h.containment")
 
 
-def shingles_sql(table: str, key: str, n: int = SHINGLE) -> str:
-    """DuckDB: the distinct shingles g of each row of a table."""
-    return f"""SELECT DISTINCT {key}, array_to_string(ws[i:i + {n - 1}], ' ') AS g FROM (
-      SELECT {key}, ws, unnest(CASE WHEN len(ws) >= {n} THEN range(1, len(ws) - {n - 2}) WHEN len(ws) > 0 THEN [1] ELSE [] END) AS i
-      FROM (SELECT {key}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') AS ws FROM {table}))"""
-
-
 OP8_SQL = f"""
 WITH d AS ({shingles_sql("documents", "doc_id")}),
      b AS ({shingles_sql("benchmark", "item_id")}),

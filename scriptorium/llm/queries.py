@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptorium.llm import bpe, decontaminate, quality, secrets, toxicity
+from scriptorium.llm import bpe, decontaminate, jaccard_join, quality, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,10 +16,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_quality": quality.op7_quality,
         "op8_decontamination": decontaminate.op8_decontamination,
+        "op10_jaccard_join": jaccard_join.op10_jaccard_join,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op8_decontamination": decontaminate.OP8_SQL,
+        "op10_jaccard_join": jaccard_join.OP10_SQL,
     }
