@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptorium.llm import bpe, decontaminate, jaccard_join, quality, secrets, toxicity
+from scriptorium.llm import bpe, decontaminate, html_extract, jaccard_join, quality, secrets, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": secrets.op1_secret_scan,
         "op2_bpe": bpe.op2_bpe,
+        "op3_html_extraction": html_extract.op3_html_extraction,
+        "op4_warc": warc.op4_warc,
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_quality": quality.op7_quality,
         "op8_decontamination": decontaminate.op8_decontamination,
@@ -22,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_warc": warc.OP4_SQL,
         "op8_decontamination": decontaminate.OP8_SQL,
         "op10_jaccard_join": jaccard_join.OP10_SQL,
     }
