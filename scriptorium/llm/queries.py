@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptorium.llm import bpe, decontaminate, html_extract, jaccard_join, quality, secrets, toxicity, warc
+from scriptorium.llm import bpe, decontaminate, embedding_dedup, html_extract, jaccard_join, quality, secrets, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_bpe": bpe.op2_bpe,
         "op3_html_extraction": html_extract.op3_html_extraction,
         "op4_warc": warc.op4_warc,
+        "op5_embedding_dedup": embedding_dedup.op5_embedding_dedup,
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_quality": quality.op7_quality,
         "op8_decontamination": decontaminate.op8_decontamination,
