@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptorium.llm import bpe, decontaminate, embedding_dedup, html_extract, jaccard_join, quality, secrets, toxicity, warc
+from scriptorium.llm import bpe, decontaminate, embedding_dedup, html_extract, jaccard_join, lm_score, quality, secrets, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_quality": quality.op7_quality,
         "op8_decontamination": decontaminate.op8_decontamination,
+        "op9_lm_score": lm_score.op9_lm_score,
         "op10_jaccard_join": jaccard_join.op10_jaccard_join,
     }
 
@@ -27,5 +28,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_warc": warc.OP4_SQL,
         "op8_decontamination": decontaminate.OP8_SQL,
+        "op9_lm_score": lm_score.OP9_SQL,
         "op10_jaccard_join": jaccard_join.OP10_SQL,
     }
