@@ -18,6 +18,7 @@ from functools import cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -217,7 +218,9 @@ def bpe_decode(ids: Column | str, path: str | None = None) -> Column:
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
         bpe = load(path or vocabulary_path())
-        return pa.array([bpe.decode(np.array(x.as_py() or [], "<u4").tobytes()) for x in lists], pa.string())
+        flat = lists.flatten().fill_null(0).to_numpy(zero_copy_only=False).astype("<u4")  # without the ids of null lists
+        ends = np.cumsum(pa.compute.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False))
+        return pa.array([bpe.decode(flat[a:b].tobytes()) for a, b in zip(np.r_[0, ends[:-1]][: len(ends)], ends, strict=True)], pa.string())
 
     return decode(F.col(ids) if isinstance(ids, str) else ids)
 
