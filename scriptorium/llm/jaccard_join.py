@@ -230,7 +230,8 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     placed = members.join(sizes, "component").select(
         F.col("node").alias("rep"), "copies", F.col("component").alias("cluster"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
     )
-    content = docs.join(placed, F.col("doc") == F.col("rep")).select("rep", "copies", "cluster", "blocks", "block", F.arrow_udf(_content, "struct<values:binary,shingles:binary>")("txt").alias("c"))
+    # One plan at every size: the members are shuffled to the texts even where they are few enough to broadcast.
+    content = docs.join(placed.hint("merge"), F.col("doc") == F.col("rep")).select("rep", "copies", "cluster", "blocks", "block", F.arrow_udf(_content, "struct<values:binary,shingles:binary>")("txt").alias("c"))
     # A block meets each block of its cluster once, itself included; small clusters share a group.
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("block")).alias("left"), F.greatest(x, F.col("block")).alias("right")))
     dealt = (
