@@ -101,9 +101,14 @@ def repeated_pattern(c: Column) -> Column:
 
         return F.exists(F.sequence(F.lit(1), F.least(F.lit(11), F.floor(n / 6).cast("int"))), alike)
 
+    # What is like a run of its first eleven characters consists of them, so most texts need no closer look.
+    other = lambda x: F.length(F.call_function("translate", x, F.substring(x, 1, 11), F.lit("")))
     return let(
         F.regexp_replace(F.coalesce(c, F.lit("")), f"{SPACE}+", ""),
-        lambda x: F.when(F.length(x) < 24, F.lit(False)).when(x.rlike(r"(?s)(.)\1{11,}"), F.lit(True)).otherwise(let(characters(x), loops)),
+        lambda x: F.when(F.length(x) < 24, F.lit(False))
+        .when(x.rlike(r"(?s)(.)\1{11,}"), F.lit(True))
+        .when(other(x) > F.length(x) * F.lit(0.1200001), F.lit(False))
+        .otherwise(let(characters(x), loops)),
     )
 
 
@@ -112,10 +117,11 @@ def _kept_tokens(tokens: Column, least: int, longest: int) -> Column:
 
     def cut(p: Column) -> Column:
         differs = F.filter(F.sequence(F.lit(1), n - p), lambda j: F.get(tokens, j - 1) != F.get(tokens, j + p - 1))
-        return let(
+        runs = let(
             F.floor((n - F.coalesce(F.array_max(differs), F.lit(0))) / p).cast("int"),
             lambda runs: F.when(runs >= least, F.struct((n - p * runs + 1).alias("start"), p.alias("p"))),
         )
+        return F.when(F.get(tokens, n - 1) == F.get(tokens, n - p - 1), runs)
 
     periods = F.when(n >= least, F.sequence(F.lit(1), F.least(F.lit(longest), F.floor(n / least).cast("int")))).otherwise(F.array().cast("array<int>"))
     return let(F.array_min(F.array_compact(F.transform(periods, cut))), lambda best: best["start"] + best["p"] - 1)

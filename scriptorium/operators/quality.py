@@ -9,12 +9,15 @@ from scriptorium.functions import text as tx
 
 
 def inspect(df: DataFrame, text: str = "text") -> DataFrame:
-    """Adds ``inspected`` (struct text, flags) to lines. Each step is a column of its own, so that it is made once."""
-    plan = df.withColumn("_raw", tx.headline_stripped(F.col(text)))
-    plan = plan.withColumn("_cut", tx.truncate_repetition(F.col("_raw")))
-    plan = plan.withColumn("_loop", tx.repeated_pattern(F.col("_cut.text")))
-    out = tx.inspected(F.col("_raw"), F.col("_cut.text"), F.col("_cut.truncated"), F.col("_loop"))
-    return plan.withColumn("inspected", out).drop("_raw", "_cut", "_loop")
+    """Adds ``inspected`` (struct text, flags) to lines. Each step is bound to a name, so that it is made once."""
+    steps = tx.let(
+        tx.headline_stripped(F.col(text)),
+        lambda raw: tx.let(
+            tx.truncate_repetition(raw),
+            lambda cut: tx.let(tx.repeated_pattern(cut["text"]), lambda loop: tx.inspected(raw, cut["text"], cut["truncated"], loop)),
+        ),
+    )
+    return df.withColumn("inspected", steps)
 
 
 def suspicious(flags: Column) -> Column:
