@@ -27,7 +27,7 @@ SUSPICIOUS_FLAGS = ("empty_output", "repetition_truncated", "repetition_loop", "
 PAGE_NUMBER = r"\A[-–— ]*(?U:\d){1,4}[-–— ]*\z"
 DATE = r"(?U)\b(?:[0-3]?\d[./-][01]?\d[./-](?:\d{2}|\d{4})|[0-3]?\d\s+[а-яё]+\s+\d{4})\b"
 LIST_ITEM = r"(?U)\A\s*(?:[-•·]|\d+[.)]|[а-яё][.)])\s+"
-SPACE = r"(?U)[\s\x1c-\x1f]"
+SPACE = r"[\s\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 #: Letters whose full case folding is longer than, or other than, their lower case.
 FOLDS = {"ß": "ss", "ς": "σ", "ſ": "s", "ŉ": "ʼn", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st", "µ": "μ"}
 
