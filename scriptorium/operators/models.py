@@ -1,0 +1,53 @@
+"""Calls of external models as an operator: one contract for detection, recognition, localisation and extraction.
+
+A client is made once in each worker process by a factory that the caller gives; rows are sent in batches; a row that
+fails after its retries keeps its error, and never stops the job.
+"""
+
+from __future__ import annotations
+
+import time
+from collections.abc import Callable, Iterator
+from typing import Protocol
+
+from pyspark.sql import DataFrame
+
+
+class Client(Protocol):
+    def __call__(self, payloads: list[str]) -> list[str]: ...
+
+
+REPLY = "reply string, attempts int, error string"
+_clients: dict[str, Client] = {}
+
+
+def with_retries(call: Callable[[], str], retries: int, delay: float) -> tuple[str | None, int, str | None]:
+    """(reply, attempts, error) after at most ``retries`` + 1 attempts."""
+    error = None
+    for attempt in range(1, retries + 2):
+        try:
+            return call(), attempt, None
+        except Exception as e:  # any fault of a model is an answer of this operator
+            error = f"{type(e).__name__}: {e}"
+            if attempt <= retries:
+                time.sleep(delay)
+    return None, retries + 1, error
+
+
+def call_model(df: DataFrame, name: str, factory: Callable[[], Client], payload: str = "payload", batch: int = 4, retries: int = 2, delay: float = 1.0) -> DataFrame:
+    """Adds reply, attempts and error to the rows of ``df``. A batch that fails is tried again row by row."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", " + REPLY
+
+    def run(frames: Iterator) -> Iterator:
+        client = _clients.get(name) or _clients.setdefault(name, factory())
+        for frame in frames:
+            replies: list[tuple[str | None, int, str | None]] = []
+            for at in range(0, len(frame), batch):
+                part = frame[payload].iloc[at : at + batch].tolist()
+                try:
+                    replies += [(r, 1, None) for r in client(part)]
+                except Exception:
+                    replies += [with_retries(lambda p=p: client([p])[0], retries, delay) for p in part]
+            yield frame.assign(reply=[r[0] for r in replies], attempts=[r[1] for r in replies], error=[r[2] for r in replies])
+
+    return df.mapInPandas(run, schema)

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptorium.plans import document_queries, extraction_queries, geometry_queries, layout_queries, text_queries
+from scriptorium.plans import document_queries, extraction_queries, file_queries, geometry_queries, layout_queries, text_queries
 
-MODULES = (text_queries, geometry_queries, layout_queries, document_queries, extraction_queries)
+MODULES = (text_queries, geometry_queries, layout_queries, document_queries, extraction_queries, file_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
