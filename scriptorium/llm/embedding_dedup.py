@@ -27,7 +27,7 @@ from scriptorium.llm.components import connected_components
 from scriptorium.llm.jaccard_join import LINKS, roots
 
 COSINE = 0.93
-SAMPLE, ROUNDS, BITS = 10_000, 40, 64
+SAMPLE, ROUNDS, BITS, MOST_MEAN = 10_000, 40, 64, 0.6
 #: The tables: which bytes of a code two vectors share in each.
 TABLES = tuple(combinations(range(BITS // 8), 2))
 BLOCK_VECTORS = 1024
@@ -40,6 +40,9 @@ class Quantiser:
     def __init__(self, sample: np.ndarray, seed: int = 3):
         self.dim = sample.shape[1] if len(sample) else 1
         self.mean = sample.mean(0) if len(sample) else np.zeros(1)
+        if np.linalg.norm(self.mean) > MOST_MEAN:
+            # Vectors that point one way lie too near their mean: taken from there, near ones would have any angle.
+            self.mean = np.zeros(self.dim)
         x = sample - self.mean
         _, axes = np.linalg.eigh(x.T @ x + 1e-12 * np.eye(self.dim))
         axes = axes[:, ::-1][:, :BITS]

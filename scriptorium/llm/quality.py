@@ -98,7 +98,7 @@ class QuadraticDiscriminant:
 def fit_quality(docs: DataFrame, labels: DataFrame, k: int = FOLDS, held: int = HELD, most: int = TRAIN_ROWS) -> QuadraticDiscriminant:
     """The discriminant learned from the labelled rows outside fold ``held`` of ``k``, ``most`` of them at most."""
     rows = training_rows(docs, labels, "quality", k, held, most)
-    x = np.array([statistics(t) for t, _ in rows]).reshape(len(rows), -1)
+    x = np.array([statistics(t) for t, _ in rows]).reshape(len(rows), len(statistics(None)))
     return QuadraticDiscriminant(x, np.array([y for _, y in rows], int))
 
 
@@ -108,7 +108,7 @@ def score_quality(df: DataFrame, model: QuadraticDiscriminant, text: str = "text
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        x = np.array([statistics(t.as_py()) for t in texts]).reshape(len(texts), -1)
+        x = np.array([statistics(t.as_py()) for t in texts]).reshape(len(texts), len(statistics(None)))
         return pa.array(model.scores(x), pa.float64())
 
     return df.withColumn(out, score(F.col(text)))

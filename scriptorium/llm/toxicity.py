@@ -23,9 +23,10 @@ from scriptorium.llm.common import crc_mod_col, read, small_batches, training_ro
 SLOTS = 1 << 20
 BEGINNINGS = (4, 5)
 #: At most so many labelled rows are fitted on, and so many slots kept.
-TRAIN_ROWS, KEPT_SLOTS = 6000, 512
+TRAIN_ROWS, KEPT_SLOTS, HELP_SLOTS = 6000, 512, 64
 #: A kept slot is in so many training texts at least, and in this share of them; its log-odds are so large, also in standard errors.
 LEAST_TEXTS, LEAST_SHARE, LEAST_Z, LEAST_ODDS = 3, 0.0025, 2.3, 3.2
+HELP_Z, HELP_ODDS = 6.0, 0.8
 RANK, STEPS, RATE, L2 = 6, 300, 0.05, 1e-4
 #: How much more a toxic training text counts than another.
 TOXIC_WEIGHT = 3.0
@@ -96,8 +97,12 @@ class FactorizationMachine:
         z = np.log(p / (pos + 1)) - np.log(n / (neg + 1))
         odds = z.astype(np.float32)
         z /= np.sqrt(1 / p + 1 / n)
-        kept = np.flatnonzero((seen.sum(0) >= max(LEAST_TEXTS, LEAST_SHARE * len(texts))) & (z >= LEAST_Z) & (odds >= LEAST_ODDS))
-        kept = np.sort(kept[np.argsort(-z[kept], kind="stable")][:KEPT_SLOTS])
+        often = seen.sum(0) >= max(LEAST_TEXTS, LEAST_SHARE * len(texts))
+        telling = np.flatnonzero(often & (z >= LEAST_Z) & (odds >= LEAST_ODDS))
+        # Terms that tell little alone may tell much together: they start without a weight of their own.
+        helping = np.flatnonzero(often & (z >= HELP_Z) & (odds >= HELP_ODDS) & (odds < LEAST_ODDS))
+        best = lambda x, most: x[np.argsort(-z[x], kind="stable")][:most]
+        kept = np.sort(np.concatenate([best(telling, KEPT_SLOTS), best(helping, HELP_SLOTS)]))
         if not len(kept):
             return
         self.slots = {int(s): i for i, s in enumerate(kept)}
@@ -113,7 +118,7 @@ class FactorizationMachine:
         weight = (times * np.where(y == 1, TOXIC_WEIGHT, 1.0)).astype(np.float32)
         weight /= weight.sum()
         rng = np.random.default_rng(seed)
-        start = odds[kept]  # the weights start from the log-odds of their terms, and are held near them
+        start = np.where(odds[kept] >= LEAST_ODDS, odds[kept], 0).astype(np.float32)  # the weights start from the log-odds of their terms, and are held near them
         params = [np.array([self.bias]), start.copy(), (rng.normal(size=(len(kept), RANK)) * 0.05).astype(np.float32)]
         m, s = [np.zeros_like(q) for q in params], [np.zeros_like(q) for q in params]
         for step in range(1, STEPS + 1):

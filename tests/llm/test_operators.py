@@ -1,0 +1,212 @@
+"""The operators against brute force, libraries, exact round trips and held-out rows."""
+
+import html
+import random
+import re
+
+import duckdb
+import numpy as np
+import pytest
+
+from scriptorium.llm import bpe, decontaminate, embedding_dedup, html_extract, jaccard_join, lm_score, secrets, shingles, toxicity, warc
+from scriptorium.llm import quality as quality_
+from scriptorium.llm.components import connected_components
+
+SF = "/root/testdata/sf0.001"
+
+
+def table(sql):
+    return duckdb.sql(sql).fetchall()
+
+
+def plain_spans(text):
+    found = [("assign", *m.span()) for m in re.finditer(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.A) if len(m[2]) >= 12]
+    found += [("access", *m.span()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    found += [("hex", *m.span()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 16]
+    return sorted(found, key=lambda s: (s[1], secrets.KINDS.index(s[0])))
+
+
+def test_base_spans():
+    rng = random.Random(1)
+    pieces = ["token", "PassWord", "api_key", "secret", " ", "=", ": ", '"', "AKIA", "ABCDEF0123456789XY", "0123456789abcdef", "a", "é😀", "xyz-_.", "\n"]
+    for _ in range(3000):
+        text = "".join(rng.choices(pieces, k=rng.randint(1, 14)))
+        assert secrets.base_spans(text) == plain_spans(text)
+
+
+def test_random_strings_are_told_from_identifiers():
+    strange, plain = secrets.default_samples(400, seed=99)
+    model = secrets.default_model()
+    caught = [any(s["kind"] != "assign" for s in secrets.scan_text(f"see {t} here", model)) for t in strange if len(t) >= secrets.TOKEN_LEAST and any(map(str.isdigit, t))]
+    assert np.mean(caught) > 0.95
+    assert np.mean([bool(secrets.scan_text(f"see {t} here", model)) for t in plain]) < 0.01
+    assert secrets.redact_text('a token = "abcdefghijkl1234" b', model) == 'a [SECRET]" b'
+
+
+def test_encoder_against_the_library():
+    from tokenizers import Tokenizer
+
+    path = bpe.vocabulary_path()
+    own, other = bpe.load(path), Tokenizer.from_file(path)
+    rng = random.Random(2)
+    texts = [t for (t,) in table(f"SELECT text FROM '{SF}/documents.parquet'")]
+    for _ in range(3000):
+        texts.append("".join(rng.choices(["the", "ing", "<|endoftext|>", " ", "  ", "\n", "ß", "😀", "aaaa", "'s", "'LL", "é", "12", "-=", " ", "中文"], k=rng.randint(0, 14))))
+        texts.append("".join(rng.choices("abcdeinorst ", k=rng.randint(1, 40))))
+    for text in texts:
+        ids = other.encode(text, add_special_tokens=False).ids
+        packed = own.encode(text)
+        assert np.frombuffer(packed, "<u4").tolist() == ids
+        assert own.decode(packed) == other.decode(ids, skip_special_tokens=False) == text
+
+
+def test_extraction_on_pages_not_trained_on():
+    field, wrong, blocks = html_extract.default_field(), 0, 0
+    for page, labels in html_extract.labelled_pages(150, seed=4321):
+        found = html_extract.blocks(page)
+        if len(found) == len(labels):
+            wrong += sum(a != b for a, b in zip(field.decode(html_extract.features(found)), labels, strict=True))
+            blocks += len(labels)
+    assert wrong / blocks < 0.01
+    for (page,) in table(f"SELECT html FROM '{SF}/pages.parquet'"):
+        body = re.search(r"<article>(.*?)(?:</article>|\Z)", page, re.S)[1]
+        parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", x.replace("<br>", " "))).split()) for x in re.split(r"</?(?:p|h1)>", body)]
+        assert html_extract.extract_text(page, field) == "\n".join(x for x in parts if x)
+
+
+def test_archive_records():
+    data = warc.record(5, "http://a/\r\nb", b"x\r\n\r\ny", warc.hashlib.sha1(b"x\r\n\r\ny").hexdigest(), None)
+    back = warc.parse(data)
+    assert (back["page_id"], back["payload"], back["payload_bytes"]) == (5, b"x\r\n\r\ny", 6)
+    assert warc.url_key("https://User@WWW.Example.com:443/a?b#c") == "com,example,www)/a?b"
+
+
+def test_index_lookups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK_LINES", 7)
+    pages = spark.createDataFrame([(i, f"http://h{i % 5}.com/{i % 11}", "x" * i) for i in range(300)], "page_id bigint, url string, html string")
+    folder = f"file://{tmp_path}/w"
+    top = warc.write_index(warc.write_archives(pages, folder), folder, runs=4)
+    assert 1 <= len(top) <= 4
+    index = warc.CaptureIndex(folder, top)
+    for i in range(300):
+        file, offset, length = index.find(warc.url_key(f"http://h{i % 5}.com/{i % 11}"), i)
+        with warc.Folder(folder).open(file) as f:
+            f.seek(offset)
+            assert warc.parse(warc.zlib.decompress(f.read(length), 31))["page_id"] == i
+    assert index.find("com,h9)/", 1) is None and index.find("", None) is None
+
+
+def test_embedding_links_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(150, 24))
+    rows = [b + rng.normal(size=24) * s for b in base for s in (0.0, 0.05, 0.12, 0.2)]
+    rows = [(i, [float(np.float32(c)) for c in r], int(i % 4 < 3)) for i, r in enumerate(rows)]
+    got = {r["vec_id"]: r for r in embedding_dedup.near_embeddings(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")).collect()}
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows])
+    want = ((x @ x.T >= 0.93) & (label[:, None] == label[None])).sum(1) - 1
+    found = np.array([got[i]["n_links"] for i in range(len(rows))])
+    assert (found <= want).all() and found.sum() >= 0.9 * want.sum()
+
+
+@pytest.mark.parametrize(("module", "label", "k", "held"), [("toxicity", "toxic", 3, 1), ("quality", "quality", 4, 2)])
+def test_held_out_rows(module, label, k, held):
+    import zlib
+
+    rows = table(f"SELECT doc_id, text, {label} FROM '/root/testdata/sf0.1/documents.parquet' JOIN '/root/testdata/sf0.1/labels.parquet' USING (doc_id) ORDER BY doc_id")
+    fold = lambda i: zlib.crc32(str(i).encode()) % k
+    train, test = [(t, y) for i, t, y in rows if fold(i) != held], [(t, y) for i, t, y in rows if fold(i) == held]
+    if module == "toxicity":
+        machine = toxicity.FactorizationMachine(train)
+        terms = toxicity.Terms(machine.slots)
+        scores = np.array([machine.score(terms.of(t)) for t, _ in test])
+    else:
+        model = quality_.QuadraticDiscriminant(np.array([quality_.statistics(t) for t, _ in train]), np.array([y for _, y in train]))
+        scores = model.scores(np.array([quality_.statistics(t) for t, _ in test]))
+    assert np.mean((scores >= 0.7) == np.array([y for _, y in test])) > 0.97
+
+
+def test_pairs_of_terms_count():
+    own = lambda i, a, b: " ".join(f"r{i}q{k}{a}{b}" for k in range(9))  # noqa: E731  so that no two texts are near copies
+    rows = [(f"{a} {b} {own(i, a, b)}", int(a == "aword" and b == "bword")) for i in range(200) for a in ("aword", "other") for b in ("bword", "plain")]
+    machine = toxicity.FactorizationMachine(rows)
+    score = lambda t: machine.score(toxicity.Terms(machine.slots).of(t))
+    assert score("aword bword") > 0.7 > score("aword plain") and score("other bword") < 0.7
+
+
+def test_small_items_in_a_long_text():
+    rng = random.Random(5)
+    vocabulary = [f"v{i}" for i in range(4000)]
+    items = [" ".join(rng.choices(vocabulary, k=rng.randint(5, 90))) for _ in range(60)]
+    index = decontaminate.ItemIndex([(i, shingles.shingle_set(t)) for i, t in enumerate(items)])
+    for _ in range(30):
+        text = rng.choices(vocabulary, k=5000)
+        for t in rng.sample(items, 4):
+            cut = t.split()
+            if rng.random() < 0.5:
+                cut[rng.randrange(len(cut))] = "changed"
+            at = rng.randrange(5000)
+            text[at:at] = cut
+        text = " ".join(text)
+        own = set(shingles.shingle_set(text).tolist())
+        want = {i for i, t in enumerate(items) if len(s := set(shingles.shingle_set(t).tolist())) and 5 * len(s & own) >= 4 * len(s)}
+        assert {h["item_id"] for h in index.hits(text)} == want
+
+
+def test_posterior_bound():
+    for n in (28, 56, 252):
+        least = jaccard_join.least_matches(n)
+        assert 0 < least < 0.8 * n
+        rng = np.random.default_rng(n)
+        assert (rng.binomial(n, 0.8, 20_000) >= least).all()
+
+
+def test_near_duplicates_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_TEXTS", 5)  # several blocks in a cluster
+    rng = random.Random(8)
+    docs = []
+    for _ in range(25):
+        words = [f"w{rng.randrange(900)}" for _ in range(rng.randint(3, 150))]
+        for _ in range(rng.randint(1, 9)):
+            copy = list(words)
+            for _ in range(rng.randint(0, 3)):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(900)}"
+            docs.append(" ".join(copy))
+    rng.shuffle(docs)
+    sets = [set(shingles.shingle_set(t).tolist()) for t in docs]
+    n = len(docs)
+    link = [[i != j and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) for j in range(n)] for i in range(n)]
+    label = list(range(n))
+    for _ in range(n):
+        label = [min([label[i], *(label[j] for j in range(n) if link[i][j])]) for i in range(n)]
+    got = {r["doc_id"]: r for r in jaccard_join.near_duplicates(spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")).collect()}
+    assert [got[i]["n_links"] for i in range(n)] == [sum(x) for x in link]
+    assert [got[i]["class_id"] for i in range(n)] == label
+
+
+def test_components(spark):
+    rng = random.Random(4)
+    edges = [(i, i + 1) for i in range(60)] + [(1000 + rng.randrange(80), 1000 + rng.randrange(80)) for _ in range(50)] + [(5, 5), (7, 6), (6, 7), (None, 3)]
+    got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and a != b:
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    assert got == {x: root(x) for x in parent}
+
+
+def test_scores_do_not_depend_on_batches(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    one = {r["id"]: r["score"] for r in lm_score.lm_scores(docs).collect()}
+    monkeypatch.setattr(lm_score, "BATCH_CHARS", 40_000)
+    monkeypatch.setattr(lm_score, "PART_CHARS", 25_000)
+    many = {r["id"]: r["score"] for r in lm_score.lm_scores(docs).collect()}
+    assert one.keys() == many.keys() and all(abs(one[i] - many[i]) < 1e-6 for i in one)
