@@ -23,7 +23,11 @@ PAIRS = f"""{fx.DETECTIONS}, pair AS (
   SELECT a.doc_id, a.page, a.i AS a, b.i AS b, a.x1 AS ax1, a.y1 AS ay1, a.x2 AS ax2, a.y2 AS ay2, b.x1 AS bx1, b.y1 AS by1, b.x2 AS bx2, b.y2 AS by2,
     greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)) AS inter
   FROM det a JOIN det b ON a.doc_id = b.doc_id AND a.page = b.page AND a.tile = 0 AND b.tile = 1 AND abs(a.y1 - b.y1) <= 60)"""
-A, B = Box.of(prefix="a_"), Box.of(prefix="b_")
+
+
+def both():
+    return Box.of(prefix="a_"), Box.of(prefix="b_")
+
 
 SQL_EXPAND = """greatest(0, {x1} - greatest(4, CAST(trunc({w} * CAST({r} AS DOUBLE)) AS INTEGER))) AS {p}x1, greatest(0, {y1} - greatest(4, CAST(trunc({h} * CAST({r} AS DOUBLE)) AS INTEGER))) AS {p}y1,
   least({w}, {x2} + greatest(4, CAST(trunc({w} * CAST({r} AS DOUBLE)) AS INTEGER))) AS {p}x2, least({h}, {y2} + greatest(4, CAST(trunc({h} * CAST({r} AS DOUBLE)) AS INTEGER))) AS {p}y2"""
@@ -51,15 +55,15 @@ def detection_to_page_coords(spark, d):
 
 QUERIES = {
     "bbox_iou_pairs": (
-        lambda s, d: pairs(s, d).select("doc_id", "page", "a", "b", F.round(geo.iou(A, B), 6).alias("iou")),
+        lambda s, d: pairs(s, d).select("doc_id", "page", "a", "b", F.round(geo.iou(*both()), 6).alias("iou")),
         f"WITH {PAIRS} SELECT doc_id, page, a, b, round(CASE WHEN inter > 0 THEN inter / CAST((ax2 - ax1) * (ay2 - ay1) + (bx2 - bx1) * (by2 - by1) - inter AS DOUBLE) ELSE 0 END, 6) AS iou FROM pair",
     ),
     "bbox_ios_pairs": (
-        lambda s, d: pairs(s, d).select("doc_id", "page", "a", "b", F.round(geo.over_smaller(A, B), 6).alias("ios")),
+        lambda s, d: pairs(s, d).select("doc_id", "page", "a", "b", F.round(geo.over_smaller(*both()), 6).alias("ios")),
         f"WITH {PAIRS} SELECT doc_id, page, a, b, round(inter / CAST(least(greatest(1, (ax2 - ax1) * (ay2 - ay1)), greatest(1, (bx2 - bx1) * (by2 - by1))) AS DOUBLE), 6) AS ios FROM pair",
     ),
     "bbox_x_overlap": (
-        lambda s, d: pairs(s, d).select("doc_id", "page", "a", "b", F.round(geo.x_overlap(A, B), 6).alias("x_overlap")),
+        lambda s, d: pairs(s, d).select("doc_id", "page", "a", "b", F.round(geo.x_overlap(*both()), 6).alias("x_overlap")),
         f"WITH {PAIRS} SELECT doc_id, page, a, b, round(greatest(0, least(ax2, bx2) - greatest(ax1, bx1)) / CAST(greatest(1, least(ax2 - ax1, bx2 - bx1)) AS DOUBLE), 6) AS x_overlap FROM pair",
     ),
     "bbox_expand": (

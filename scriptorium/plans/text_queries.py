@@ -8,8 +8,6 @@ from scriptorium.functions import text as tx
 from scriptorium.operators import quality
 from scriptorium.plans import fixtures as fx
 
-W, H = F.lit(fx.PAGE_WIDTH), F.lit(fx.PAGE_HEIGHT)
-
 SQL_NORM = "trim(regexp_replace(text, '\\s+', ' ', 'g'))"
 SQL_LATIN = "len(regexp_extract_all({0}, '[A-Za-z]'))"
 SQL_CYRILLIC = "len(regexp_extract_all({0}, '[А-Яа-яЁё]'))"
@@ -80,7 +78,7 @@ def suspicious_lines_topk(spark, d, most: int = 5):
 
 def classify_line_type(spark, d):
     x = [F.col(n) for n in ("x1", "y1", "x2", "y2")]
-    return fx.typed_lines(spark, d).select("kind", "id", tx.line_type(F.col("text"), *x, W, H).alias("type"))
+    return fx.typed_lines(spark, d).select("kind", "id", tx.line_type(F.col("text"), *x, F.lit(fx.PAGE_WIDTH), F.lit(fx.PAGE_HEIGHT)).alias("type"))
 
 
 SQL_TYPE = f"""CASE WHEN trim(text) = '' THEN 'unknown'

@@ -42,3 +42,11 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_import_without_spark():
+    import subprocess
+    import sys
+
+    code = "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"
+    assert subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(__spark_entry__.__file__)).returncode == 0
