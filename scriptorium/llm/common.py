@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 import zlib
@@ -40,21 +39,21 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: it cuts the lineage and survives lost executors."""
+    """``df`` written once to the shared folder and read back: it cuts the lineage and survives lost executors.
+
+    The table stays there as long as the folder is kept, for frames made from it may be read at any time."""
     at = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+    back = df.sparkSession.read.schema(df.schema).parquet(at)
+    back.staged_at = at
+    return back
 
 
-def drop_staged(spark: SparkSession, df: DataFrame) -> None:
+def drop_staged(df: DataFrame) -> None:
     """Deletes a staged table that nothing reads any more."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    base = shared_dir(spark).split(":", 1)[-1].lstrip("/")
-    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
-        if base in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def crc_mod(doc_id: int, k: int) -> int:

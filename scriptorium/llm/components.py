@@ -34,7 +34,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         p1 = staged(_parents(e1).select(F.col("u").alias("v"), "m"), "parents")
         e2 = staged(e1.join(p1, "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct(), "edges")
         for old in (e, p, e1, p1):
-            drop_staged(e.sparkSession, old)
+            drop_staged(old)
         e = e2
     else:
         raise RuntimeError(f"no end after {MOST_ROUNDS} rounds")
