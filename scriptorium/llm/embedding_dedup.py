@@ -1,11 +1,12 @@
 """Near duplicates among embeddings: iterative quantisation, multi-index Hamming tables, exact cosine.
 
-A rotation learned from a bounded sample turns unit vectors into balanced 64-bit codes. A code has eight bytes; two
-vectors meet where they share a label and any two bytes, so there is a table for each pair of bytes. A pair that meets
-in several tables counts in the first only, which both codes tell. Those that meet are compared by their original vectors.
+Ten rotations, learned from a bounded sample from different starts, turn unit vectors into balanced codes of 64 bits
+each. Every 16 bits are the key of a table, and two vectors meet where they share a label and any of the 40 keys; no bit
+serves two tables. A pair that meets in several tables counts in the first only, which both codes tell. Those that meet
+are compared by their original vectors.
 Equal vectors go on as one; a bucket is compared in pairs of blocks, which return sums of links and stars, never pairs.
 
-The rotation is fitted on at most ``SAMPLE`` rows; every row is indexed.
+The rotations are fitted on at most ``SAMPLE`` rows; every row is indexed.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows with a null label or
 id, link with nothing; vectors of different lengths do not link; rows that repeat an id or a vector count as copies.
@@ -15,7 +16,6 @@ Extra columns do not matter.
 from __future__ import annotations
 
 import hashlib
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +28,15 @@ from scriptorium.llm.jaccard_join import LINKS, roots
 
 COSINE = 0.93
 SAMPLE, ROUNDS, BITS, MOST_MEAN = 10_000, 40, 64, 0.6
-#: The tables: which bytes of a code two vectors share in each.
-TABLES = tuple(combinations(range(BITS // 8), 2))
+#: Rotations, and the tables that the keys of their bits make.
+ROTATIONS, KEY_BITS = 10, 16
+TABLES = ROTATIONS * BITS // KEY_BITS
 BLOCK_VECTORS = 1024
 GROUP_ROWS = 4096
 
 
 class Quantiser:
-    """The learned rotation; ``codes`` gives 64 bits for each unit vector."""
+    """The learned rotations; ``codes`` gives the keys of each unit vector, one for each table."""
 
     def __init__(self, sample: np.ndarray, seed: int = 3):
         self.dim = sample.shape[1] if len(sample) else 1
@@ -48,19 +49,22 @@ class Quantiser:
         axes = axes[:, ::-1][:, :BITS]
         axes = np.pad(axes, ((0, 0), (0, BITS - axes.shape[1])))
         v = x @ axes
-        rotation, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(BITS, BITS)))
-        for _ in range(ROUNDS if len(sample) else 0):
-            b = np.where(v @ rotation >= 0, 1.0, -1.0)
-            left, _, right = np.linalg.svd(b.T @ v)
-            rotation = (left @ right).T
-        self.project = axes @ rotation
+        rng, projects = np.random.default_rng(seed), []
+        for _ in range(ROTATIONS):
+            rotation, _ = np.linalg.qr(rng.normal(size=(BITS, BITS)))
+            for _ in range(ROUNDS if len(sample) else 0):
+                b = np.where(v @ rotation >= 0, 1.0, -1.0)
+                left, _, right = np.linalg.svd(b.T @ v)
+                rotation = (left @ right).T
+            projects.append(axes @ rotation)
+        self.project = np.hstack(projects)
 
     def codes(self, unit: list[np.ndarray]) -> np.ndarray:
         x = np.zeros((len(unit), self.dim))
         for i, u in enumerate(unit):
             x[i, : len(u)] = u[: self.dim]
         bits = (x - self.mean) @ self.project >= 0
-        return np.packbits(bits, axis=1).view(np.int64).ravel()
+        return np.packbits(bits, axis=1).view(np.int16)
 
 
 def unit(vector) -> np.ndarray | None:
@@ -73,7 +77,7 @@ def unit(vector) -> np.ndarray | None:
 
 
 def fit_quantiser(df: DataFrame, vector: str = "embedding", most: int = SAMPLE) -> Quantiser:
-    """The rotation for a table of vectors, from ``most`` rows at most, the first of a fixed pseudo-random order."""
+    """The rotations for a table of vectors, from ``most`` rows at most, the first of a fixed pseudo-random order."""
     rows = df.where(F.col(vector).isNotNull()).select(vector, F.xxhash64(vector).alias("_h")).orderBy("_h").limit(most).collect()
     found = [u for r in rows if (u := unit(r[0])) is not None]
     sizes = [len(u) for u in found]
@@ -81,21 +85,20 @@ def fit_quantiser(df: DataFrame, vector: str = "embedding", most: int = SAMPLE)
     return Quantiser(np.array([u for u in found if len(u) == most_common]).reshape(-1, most_common))
 
 
-def links_of(i_codes, j_codes, table: tuple[int, int]) -> np.ndarray:
-    """Which of the pairs, given as bytes of the codes, meet first in this table."""
+def links_of(i_codes, j_codes, table: int) -> np.ndarray:
+    """Which of the pairs, given as keys, meet in no table before this one."""
     first = np.ones(np.broadcast_shapes(i_codes.shape[:-1], j_codes.shape[:-1]), bool)
-    for c in range(table[1]):
-        if c != table[0]:
-            first &= i_codes[..., c] != j_codes[..., c]
+    for c in range(table):
+        first &= i_codes[..., c] != j_codes[..., c]
     return first
 
 
 def _compare(table: pa.Table) -> pa.Table:
-    c = {k: table.column(k).to_numpy() for k in ("bucket", "t", "left", "right", "block", "rep", "copies", "code")}
+    c = {k: table.column(k).to_numpy() for k in ("bucket", "t", "left", "right", "block", "rep", "copies")}
     vectors = table.column("vector").combine_chunks()
     flat, offsets = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64), vectors.offsets.to_numpy()
     get = lambda x: flat[offsets[x] : offsets[x + 1]]
-    bytes_of = c["code"].view(np.uint8).reshape(-1, BITS // 8)
+    codes = table.column("code").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, TABLES)
     keys, which = np.unique(np.stack([c["bucket"], c["t"].astype(np.int64), c["left"], c["right"]]), axis=1, return_inverse=True)
     order = np.argsort(which.ravel(), kind="stable")
     cuts = np.searchsorted(which.ravel()[order], np.arange(keys.shape[1] + 1))
@@ -110,7 +113,7 @@ def _compare(table: pa.Table) -> pa.Table:
     for t in np.unique(keys[1, size == 2]):
         at = cuts[:-1][(size == 2) & (keys[1] == t) & (keys[2] == keys[3])]
         a, b = order[at], order[at + 1]
-        ok = links_of(bytes_of[a], bytes_of[b], TABLES[t])
+        ok = links_of(codes[a], codes[b], t)
         a, b = a[ok], b[ok]
         good = [x for x in range(len(a)) if _close(get(a[x]), get(b[x]))]
         keep(a[good], b[good])
@@ -126,7 +129,7 @@ def _compare(table: pa.Table) -> pa.Table:
             continue
         xa, xb = np.stack([get(x) for x in ra]), np.stack([get(x) for x in rb])
         xa, xb = xa / np.linalg.norm(xa, axis=1, keepdims=True), xb / np.linalg.norm(xb, axis=1, keepdims=True)
-        hit = (xa @ xb.T >= COSINE) & links_of(bytes_of[ra][:, None], bytes_of[rb][None], TABLES[keys[1, k]])
+        hit = (xa @ xb.T >= COSINE) & links_of(codes[ra][:, None], codes[rb][None], keys[1, k])
         if same:
             hit = np.triu(hit, 1)
         i, j = np.nonzero(hit)
@@ -151,17 +154,17 @@ def near_embeddings(df: DataFrame, id: str = "vec_id", vector: str = "embedding"
     model = quantiser or fit_quantiser(df, vector)
     rows = df.select(F.col(id).cast("bigint").alias("id"), F.col(vector).alias("vector"), F.col(label).cast("string").alias("label"))
 
-    @F.arrow_udf("struct<set_key:binary,code:bigint>")
+    @F.arrow_udf("struct<set_key:binary,code:array<smallint>>")
     def sketch(vectors: pa.Array, labels: pa.Array) -> pa.Array:
         units = [unit(v.as_py()) for v in vectors]
         tags = labels.to_pylist()
         ok = [i for i, u in enumerate(units) if u is not None and tags[i] is not None]
-        codes = dict(zip(ok, model.codes([units[i] for i in ok]).tolist(), strict=True)) if ok else {}
+        codes = dict(zip(ok, model.codes([units[i] for i in ok]), strict=True)) if ok else {}
         keys = [
             hashlib.blake2b(f"{tags[i]}\0{len(units[i])}\0".encode() + np.array(vectors[i].as_py(), np.float64).tobytes(), digest_size=16).digest() if i in codes else None
             for i in range(len(units))
         ]
-        return pa.StructArray.from_arrays([pa.array(keys, pa.binary()), pa.array([codes.get(i) for i in range(len(units))], pa.int64())], ["set_key", "code"])
+        return pa.StructArray.from_arrays([pa.array(keys, pa.binary()), pa.array([codes.get(i) for i in range(len(units))], pa.list_(pa.int16()))], ["set_key", "code"])
 
     sketched = rows.select("id", "label", "vector", sketch("vector", "label").alias("s"))
     sketched = staged(sketched.select("id", "label", "vector", F.when(F.col("id").isNotNull(), F.col("s.set_key")).alias("set_key"), "s.code"), "codes")
@@ -171,9 +174,8 @@ def near_embeddings(df: DataFrame, id: str = "vec_id", vector: str = "embedding"
         .agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("code").alias("code"), F.first("label").alias("label"), F.first("vector").alias("vector")),
         "classes",
     )
-    byte = lambda k: F.shiftright("code", 8 * k).bitwiseAND(F.lit(255))
-    tables = F.array(*(F.struct(F.lit(t).alias("t"), F.xxhash64(F.col("label"), F.size("vector"), F.lit(t), byte(a), byte(b)).alias("bucket")) for t, (a, b) in enumerate(TABLES)))
-    entries = classes.select("rep", F.explode(tables).alias("e")).select("rep", "e.t", "e.bucket")
+    keyed = classes.select("rep", "label", F.size("vector").alias("size"), F.posexplode("code").alias("t", "key"))
+    entries = keyed.select("rep", "t", F.xxhash64("label", "size", "t", "key").alias("bucket"))
     buckets = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket", F.ceil(F.col("n") / BLOCK_VECTORS).cast("int").alias("blocks"))
     met = staged(entries.join(buckets, "bucket").select("rep", "t", "bucket", "blocks"), "entries")
     groups = met.count() // GROUP_ROWS + 1

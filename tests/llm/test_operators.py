@@ -110,6 +110,21 @@ def test_embedding_links_against_brute_force(spark):
     assert (found <= want).all() and found.sum() >= 0.9 * want.sum()
 
 
+@pytest.mark.parametrize("shared", [0.0, 0.5])
+def test_embeddings_near_the_threshold_meet(shared):
+    rng = np.random.default_rng(7)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    mean = np.zeros(64)
+    mean[0] = shared
+    a = unit(unit(rng.normal(size=(8000, 64))) * np.sqrt(1 - shared**2) + mean)
+    side = rng.normal(size=a.shape)
+    side = unit(side - (side * a).sum(1, keepdims=True) * a)
+    cosine = rng.uniform(0.93, 0.95, (len(a), 1))
+    b = cosine * a + np.sqrt(1 - cosine**2) * side
+    model = embedding_dedup.Quantiser(a)
+    assert (model.codes(list(a)) == model.codes(list(b))).any(1).mean() > 0.95
+
+
 @pytest.mark.parametrize(("module", "label", "k", "held"), [("toxicity", "toxic", 3, 1), ("quality", "quality", 4, 2)])
 def test_held_out_rows(module, label, k, held):
     import zlib
