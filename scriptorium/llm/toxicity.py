@@ -1,8 +1,9 @@
 """Toxicity: a factorization machine over hashed terms, so that pairs of terms count beyond their sums.
 
-Terms are the lower-case words of a text and the beginnings of longer words, hashed to slots. Slots that are clearly
-commoner in toxic than in other training texts are kept; the machine learns a weight and a short vector for each, and
-the products of the vectors of the terms that meet in a text are its pairwise interactions.
+Terms are the lower-case words of a text and the beginnings of longer words, hashed to slots. All slots that are in
+enough training texts are fitted, whatever they tell alone, those that speak for clean texts included; the machine learns
+a weight and a short vector for each, and the products of the vectors of the terms that meet in a text are its pairwise
+interactions. What a term learns is shrunk towards nothing at each step, so that many terms can be fitted on few texts.
 
 Defined results: null and empty texts get the score of a text without known terms; repeated rows get equal scores;
 with no training rows, or rows of one class only, every score is the smoothed share of toxic rows.
@@ -22,12 +23,15 @@ from scriptorium.llm.common import crc_mod_col, read, small_batches, training_ro
 
 SLOTS = 1 << 20
 BEGINNINGS = (4, 5)
-#: At most so many labelled rows are fitted on, and so many slots kept.
-TRAIN_ROWS, KEPT_SLOTS, HELP_SLOTS = 6000, 512, 64
-#: A kept slot is in so many training texts at least, and in this share of them; its log-odds are so large, also in standard errors.
-LEAST_TEXTS, LEAST_SHARE, LEAST_Z, LEAST_ODDS = 3, 0.0025, 2.3, 3.2
-HELP_Z, HELP_ODDS = 6.0, 0.8
+#: At most so many labelled rows are fitted on.
+TRAIN_ROWS = 6000
+#: A fitted slot is in so many training texts at least, and in this share of them.
+LEAST_TEXTS, LEAST_SHARE = 3, 0.0025
+#: Log-odds from which, also in standard errors, the weight of a slot starts from them.
+LEAST_Z, LEAST_ODDS = 2.3, 3.2
 RANK, STEPS, RATE, L2 = 6, 300, 0.05, 1e-4
+#: The spread of the vectors at the start, what damps the steps of terms with small gradients, and how a step shrinks a term.
+SPREAD, DAMP, SHRINK = 0.05, 1e-3, 0.05
 #: How much more a toxic training text counts than another.
 TOXIC_WEIGHT = 3.0
 THRESHOLD = 0.7
@@ -58,6 +62,29 @@ class Terms(dict):
         return set().union(*map(self.__getitem__, set(WORD.findall((text or "").lower()))))
 
 
+class Incidence:
+    """Which terms each text has, for sums over the terms of a text and over the texts of a term."""
+
+    def __init__(self, texts: list[np.ndarray], terms: int):
+        self.shape = len(texts), terms
+        self.text, self.term = np.repeat(np.arange(len(texts)), [len(t) for t in texts]), np.concatenate(texts)
+        self.order = np.argsort(self.term, kind="stable")
+
+    def by_text(self, values: np.ndarray) -> np.ndarray:
+        return self._sums(self.text, values[self.term], self.shape[0])
+
+    def by_term(self, values: np.ndarray) -> np.ndarray:
+        return self._sums(self.term[self.order], values[self.text[self.order]], self.shape[1])
+
+    @staticmethod
+    def _sums(key: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+        out = np.zeros((n, rows.shape[1]), rows.dtype)
+        if len(key):
+            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            out[key[first]] = np.add.reduceat(rows, first, axis=0)
+        return out
+
+
 class FactorizationMachine:
     """score(text): the probability of the label; fitted in full batches with Adam from a fixed start."""
 
@@ -98,40 +125,45 @@ class FactorizationMachine:
         odds = z.astype(np.float32)
         z /= np.sqrt(1 / p + 1 / n)
         often = seen.sum(0) >= max(LEAST_TEXTS, LEAST_SHARE * len(texts))
-        telling = np.flatnonzero(often & (z >= LEAST_Z) & (odds >= LEAST_ODDS))
-        # Terms that tell little alone may tell much together: they start without a weight of their own.
-        helping = np.flatnonzero(often & (z >= HELP_Z) & (odds >= HELP_ODDS) & (odds < LEAST_ODDS))
-        best = lambda x, most: x[np.argsort(-z[x], kind="stable")][:most]
-        kept = np.sort(np.concatenate([best(telling, KEPT_SLOTS), best(helping, HELP_SLOTS)]))
+        kept = np.flatnonzero(often)
         if not len(kept):
             return
-        self.slots = {int(s): i for i, s in enumerate(kept)}
         number = np.full(SLOTS, -1, np.int32)
         number[kept] = np.arange(len(kept))
-        x = np.zeros((len(texts), len(kept)), np.float32)
-        for i, ids in enumerate(texts):
-            at = number[ids]
-            x[i, at[at >= 0]] = 1
         # Texts with the same terms and label count together.
-        x, times = np.unique(np.column_stack([x, y]), axis=0, return_counts=True)
-        x, y = np.ascontiguousarray(x[:, :-1]), x[:, -1]
-        weight = (times * np.where(y == 1, TOXIC_WEIGHT, 1.0)).astype(np.float32)
+        times: dict[tuple[bytes, int], int] = {}
+        for ids, label in zip(texts, labels, strict=True):
+            at = np.sort(number[ids])
+            key = at[at >= 0].tobytes(), label
+            times[key] = times.get(key, 0) + 1
+        y = np.array([label for _, label in times], np.float32)
+        weight = (np.array(list(times.values())) * np.where(y == 1, TOXIC_WEIGHT, 1.0)).astype(np.float32)
         weight /= weight.sum()
+        x = Incidence([np.frombuffer(k, np.int32) for k, _ in times], len(kept))
         rng = np.random.default_rng(seed)
-        start = np.where(odds[kept] >= LEAST_ODDS, odds[kept], 0).astype(np.float32)  # the weights start from the log-odds of their terms, and are held near them
-        params = [np.array([self.bias]), start.copy(), (rng.normal(size=(len(kept), RANK)) * 0.05).astype(np.float32)]
+        # The weights of terms that clearly speak for toxic texts start from their log-odds, and all are held near their start.
+        start = np.where((z >= LEAST_Z) & (odds >= LEAST_ODDS), odds, 0)[kept].astype(np.float32)
+        params = [np.array([self.bias]), start.copy(), (rng.normal(size=(len(kept), RANK)) * SPREAD).astype(np.float32)]
         m, s = [np.zeros_like(q) for q in params], [np.zeros_like(q) for q in params]
         for step in range(1, STEPS + 1):
             b, w, v = params
-            xv = x @ v
-            logit = b + x @ w + 0.5 * ((xv**2).sum(1) - x @ (v**2).sum(1))
-            g = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y) * weight
-            xg = x.T @ g
-            grads = [np.array([g.sum()]), xg + L2 * (w - start), x.T @ (xv * g[:, None]) - v * xg[:, None] + L2 * v]
+            sums = x.by_text(np.column_stack([v, w, (v**2).sum(1)]))
+            xv = sums[:, :RANK]
+            logit = b + sums[:, RANK] + 0.5 * ((xv**2).sum(1) - sums[:, RANK + 1])
+            g = ((1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y) * weight).astype(np.float32)
+            back = x.by_term(np.column_stack([xv * g[:, None], g]))
+            xg = back[:, RANK]
+            grads = [np.array([g.sum()]), xg + L2 * (w - start), back[:, :RANK] - v * xg[:, None] + L2 * v]
             for i, d in enumerate(grads):
                 m[i] = 0.9 * m[i] + 0.1 * d
                 s[i] = 0.999 * s[i] + 0.001 * d * d
-                params[i] = params[i] - RATE * (m[i] / (1 - 0.9**step)) / (np.sqrt(s[i] / (1 - 0.999**step)) + 1e-8)
+                params[i] = params[i] - RATE * (m[i] / (1 - 0.9**step)) / (np.sqrt(s[i] / (1 - 0.999**step)) + DAMP)
+            moved, long = params[1] - start, np.sqrt((params[2] ** 2).sum(1, keepdims=True)) + 1e-12
+            params[1] = start + np.sign(moved) * np.maximum(np.abs(moved) - RATE * SHRINK, 0)
+            params[2] = params[2] * np.maximum(0, 1 - RATE * SHRINK / long)
+        # Terms without a weight and a vector add nothing to any score.
+        used = (params[1] != 0) | (params[2] != 0).any(1)
+        self.slots, params[1:] = {int(s): i for i, s in enumerate(kept[used])}, [q[used] for q in params[1:]]
         self.bias, self.w, self.v = np.float32(params[0][0]), params[1].astype(np.float32), params[2].astype(np.float32)
 
     def logit(self, ids: list[int]) -> float:

@@ -150,6 +150,19 @@ def test_pairs_of_terms_count():
     assert score("aword bword") > 0.7 > score("aword plain") and score("other bword") < 0.7
 
 
+def test_rare_pairs_of_terms_as_common_in_clean_texts_count():
+    rows = []
+    for i in range(2000):
+        toxic, both = i % 10 == 0, i % 100 == 0
+        terms = ["alpha"] * (both or (not toxic and i // 10 % 10 == 1)) + ["bravo"] * (both or (not toxic and i // 10 % 10 == 2)) + ["vile"] * (toxic and not both)
+        rows.append((" ".join([*terms, *(f"r{i}q{k}" for k in range(9))]), int(toxic)))
+    share = lambda term, y: np.mean([term in t.split() for t, label in rows if label == y])
+    assert share("alpha", 1) == share("alpha", 0) == share("bravo", 1) == share("bravo", 0) == 0.1
+    machine = toxicity.FactorizationMachine(rows)
+    score = lambda t: machine.score(toxicity.Terms(machine.slots).of(t))
+    assert score("alpha bravo") > 0.7 > max(score("alpha"), score("bravo"))
+
+
 def test_small_items_in_a_long_text():
     rng = random.Random(5)
     vocabulary = [f"v{i}" for i in range(4000)]
