@@ -28,7 +28,8 @@ from scriptorium.llm.shingles import SHINGLE, mixed, shingle_set, shingles_sql
 
 #: A pair is linked from this similarity; kept as a fraction, so that the test on counts is exact.
 SIMILAR = (4, 5)
-BANDS, ROWS = 36, 7
+#: A pair at the threshold shares no band with a chance of (1 - 0.8^ROWS)^BANDS, 4e-8, which is below the tolerance.
+BANDS, ROWS = 56, 6
 #: MinHash values that are compared at a time, and the posterior probability below which a pair is dropped.
 STEP, TOLERANCE = 28, 1e-7
 #: Texts, and their shingles, in a block of a cluster.

@@ -190,6 +190,15 @@ def test_posterior_bound():
         assert (rng.binomial(n, 0.8, 20_000) >= least).all()
 
 
+def test_pairs_at_the_threshold_share_a_band():
+    assert (1 - 0.8**jaccard_join.ROWS) ** jaccard_join.BANDS < jaccard_join.TOLERANCE
+    rng = np.random.default_rng(6)
+    for _ in range(15_000):
+        shingle = rng.integers(0, 1 << 63, 10, np.uint64)  # eight that both have, and one for each
+        a, b = (jaccard_join.band_keys(jaccard_join.min_hashes(s)) for s in (shingle[:9], np.delete(shingle, 8)))
+        assert (a == b).any()
+
+
 def test_near_duplicates_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK_TEXTS", 5)  # several blocks in a cluster
     rng = random.Random(8)
