@@ -9,7 +9,8 @@ The benchmark is a stated query set: it is searched for in blocks of bounded siz
 documents without a shuffle.
 
 Defined results: texts without words (null, empty) are contained in nothing and contain nothing; items and documents of
-one to four words have one shingle; repeated items and documents are reported for each of their rows; with an empty
+one to four words have one shingle, so an item of fewer than five words is found only in a document of exactly its
+words, and is not searched for inside longer ones, as in the SQL; repeated items and documents are reported for each of their rows; with an empty
 benchmark no document has hits; extra columns are kept.
 """
 
