@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zlib
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +28,12 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors and the driver see: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder all executors and the driver see: spark.checkpoint.dir. Only where the driver is the only worker
+    (master local, as in tests) is one of our own made if that is unset; on a cluster it has to be named."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.match(r"local(\[[^\]]*\])?$", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="scriptorium-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -49,11 +54,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return back
 
 
-def drop_staged(df: DataFrame) -> None:
-    """Deletes a staged table that nothing reads any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_at)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def drop_staged(*frames: DataFrame) -> None:
+    """Deletes staged tables that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def crc_mod(doc_id: int, k: int) -> int:
@@ -65,13 +71,20 @@ def crc_mod_col(col, k: int):
     return (F.crc32(col.cast("string").cast("binary")) % k).cast("int")
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, k: int, held: int, most: int) -> list:
-    """At most ``most`` labelled (text, label) rows outside the held-out fold, the same ones each time.
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, k: int, held: int, most: int, features) -> list[tuple[bytes, int]]:
+    """At most ``most`` labelled (features, label) rows outside the held-out fold, the same ones each time.
 
+    ``features`` makes an array of numbers of a text on the executors, so that no text is sent to the driver.
     The rows are the first of a fixed pseudo-random order of their ids, so that the bound does not favour a source;
-    rows with a null label, id or text are left out and an id labelled twice counts once. The fold is decided
-    before the texts are read, and only the bounded choice meets the documents.
+    rows with a null label, id or text are left out. An id counts once: labelled twice, with its greatest label; with
+    several texts, with the one of the least hash. The fold is decided before the texts are read, and only the bounded
+    choice meets the documents.
     """
+
+    @F.arrow_udf("binary")
+    def packed(texts: pa.Array) -> pa.Array:
+        return pa.array([features(t.as_py()).tobytes() for t in texts], pa.binary())
+
     keep = (
         labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y"))
         .where(F.col("_id").isNotNull() & F.col("_y").isNotNull() & (crc_mod_col(F.col("_id"), k) != held))
@@ -84,7 +97,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, k: int, held:
         docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"))
         .join(F.broadcast(keep), F.col("_doc") == F.col("_id"))  # at most `most` rows of two numbers
         .where(F.col("_text").isNotNull())
-        .select("_id", "_text", "_y")
+        .select("_id", "_y", F.struct(F.xxhash64("_text").alias("h"), packed("_text").alias("x")).alias("_f"))
+        .groupBy("_id")  # repeated rows meet before they are shuffled
+        .agg(F.min("_f").alias("_f"), F.first("_y").alias("_y"))
+        .select("_id", F.col("_f.x").alias("_x"), "_y")
         .collect()
     )
-    return [(r["_text"], r["_y"]) for r in sorted(rows, key=lambda r: r["_id"])]
+    return [(bytes(r["_x"]), r["_y"]) for r in sorted(rows, key=lambda r: r["_id"])]

@@ -33,10 +33,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         e1 = staged(small.unionByName(p.select("u", F.col("m").alias("v"))).distinct(), "edges")
         p1 = staged(_parents(e1).select(F.col("u").alias("v"), "m"), "parents")
         e2 = staged(e1.join(p1, "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct(), "edges")
-        for old in (e, p, e1, p1):
-            drop_staged(old)
+        drop_staged(e, p, e1, p1)
         e = e2
     else:
         raise RuntimeError(f"no end after {MOST_ROUNDS} rounds")
     stars = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return stars.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    drop_staged(p)
+    out = stars.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    out.staged_at = e.staged_at  # what may be deleted when the result has been read
+    return out

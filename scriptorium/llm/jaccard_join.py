@@ -1,14 +1,20 @@
 """N-gram Jaccard join: Bayesian pruning of MinHash candidates, and exact verification of the rest.
 
-1. Texts with the same set of shingles form a class, and go on as one text.
+1. Texts with the same set of shingles form a class, and go on as one text. Classes have numbers of their own, for one
+   id may come with several texts.
 2. Banded MinHash values put classes into buckets; classes that share a bucket, also through others, form a cluster.
-3. A cluster is compared in pairs of blocks. The MinHash values of a pair are compared a few at a time; with a uniform
-   prior, the posterior probability that its similarity reaches the threshold follows from the matches so far, and
-   pairs that fall below the tolerance are dropped. What is left is verified exactly on the sets of shingles.
+3. A cluster is compared in whichever way takes fewer comparisons: all pairs of it, or the pairs within each of its
+   buckets, where a pair counts in the first band that it shares. The first serves tight groups, whose texts meet in
+   many buckets; the second serves long chains, whose ends never meet. Both go by pairs of blocks of bounded size.
+   The MinHash values of a pair are compared a few at a time; with a uniform prior, the posterior probability that its
+   similarity reaches the threshold follows from the matches so far, and pairs that fall below the tolerance are
+   dropped. What is left is verified exactly on the sets of shingles.
 4. Blocks return sums of links and stars of linked texts, never the pairs; components join the stars.
 
-Defined results: null texts and texts without words link with nothing, and neither do rows with a null id; texts of one
-to four words have one shingle; rows that repeat an id or a text count as copies. Extra columns do not matter.
+Defined results: each row is a node, also where rows repeat an id or a text: rows that repeat both link with each other
+as copies do, and two texts of one id link only where they are alike. Null texts and texts without words link with
+nothing, and neither do rows with a null id; texts of one to four words have one shingle; an empty table gives no rows.
+Extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -22,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import read, small_batches, staged
+from scriptorium.llm.common import drop_staged, read, small_batches, staged
 from scriptorium.llm.components import connected_components
 from scriptorium.llm.shingles import SHINGLE, mixed, shingle_set, shingles_sql
 
@@ -161,107 +167,162 @@ def roots(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
-LINKS = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("root", pa.int64())])
+LINKS = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("root", pa.int64())])
+LINKS_SQL = "node bigint, n bigint, root bigint"
+
+
+def summed_links(node: np.ndarray, copies: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each node of the linked pairs of rows (i, j): the rows it links with, and the smallest node it reaches."""
+    ids, at = np.unique(np.concatenate([node[i], node[j]]), return_inverse=True)
+    a, b = at[: len(i)], at[len(i) :]
+    n = np.zeros(len(ids), np.int64)
+    np.add.at(n, a, copies[j])
+    np.add.at(n, b, copies[i])
+    return ids, n, roots(ids, a, b)
+
+
+def links_table(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.Table:
+    columns = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * 3
+    return pa.Table.from_arrays([pa.array(x, pa.int64()) for x in columns], schema=LINKS)
 
 
 def _compare(table: pa.Table) -> pa.Table:
     """The links within the block pairs of a group: for each linked text the sum of links, and a star."""
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    c = {k: table.column(k).to_numpy() for k in ("cluster", "left", "right", "block", "rep", "copies")}
+    c = {k: table.column(k).to_numpy() for k in ("unit", "by_bucket", "left", "right", "block", "node", "copies")}
     values, sets = table.column("values").to_pylist(), table.column("shingles").to_pylist()
-    keys, which = np.unique(np.stack([c["cluster"], c["left"], c["right"]]), axis=1, return_inverse=True)
+    lists = table.column("bands").combine_chunks()
+    bands, first = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()  # none where a cluster is compared as a whole
+    bands_of = lambda r: bands[first[r][:, None] - first[0] + np.arange(BANDS)]
+    keys, which = np.unique(np.stack([c["unit"], c["by_bucket"].astype(np.int64), c["left"], c["right"]]), axis=1, return_inverse=True)
     which = which.ravel()
     order = np.argsort(which, kind="stable")
     cuts = np.searchsorted(which[order], np.arange(keys.shape[1] + 1))
     for k in range(keys.shape[1]):
         rows = order[cuts[k] : cuts[k + 1]]
-        rows = rows[np.argsort(c["rep"][rows], kind="stable")]
-        same = keys[1, k] == keys[2, k]
-        ra = rows if same else rows[c["block"][rows] == keys[1, k]]
-        rb = rows if same else rows[c["block"][rows] == keys[2, k]]
+        rows = rows[np.argsort(c["node"][rows], kind="stable")]
+        unit, by_bucket, left, right = keys[:, k]
+        same = left == right
+        ra = rows if same else rows[c["block"][rows] == left]
+        rb = rows if same else rows[c["block"][rows] == right]
         if not len(ra) or not len(rb):
             continue
         load = lambda r: (np.stack([np.frombuffer(values[x], np.uint32) for x in r]), [np.frombuffer(sets[x], np.uint64) for x in r])
         va, sa = load(ra)
         vb, sb = (va, sa) if same else load(rb)
         size = lambda s: np.array([len(x) for x in s])
-        i, j = linked_pairs(sa, sb, *surviving_pairs(va, vb, size(sa), size(sb), same))
-        if not len(i):
-            continue
-        i, j = ra[i], rb[j]
-        used, at = np.unique(np.concatenate([i, j]), return_inverse=True)
-        i, j = at[: len(i)], at[len(i) :]
-        copies, ids = c["copies"][used], c["rep"][used]
-        n = np.zeros(len(used), np.int64)
-        np.add.at(n, i, copies[j])
-        np.add.at(n, j, copies[i])
-        out.append((ids, n, roots(ids, i, j)))
-    columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 3
-    return pa.Table.from_arrays([pa.array(x, pa.int64()) for x in columns], schema=LINKS)
-
-
-def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of ``df``: (doc_id, n_links, class_id, kept).
-
-    n_links counts the other rows linked directly, class_id is the smallest id reachable by links, its own included,
-    and kept marks the rows with that id.
-    """
+        i, j = surviving_pairs(va, vb, size(sa), size(sb), same)
+        if by_bucket and len(i):  # the pair counts in the first band that it shares
+            own = bands_of(ra[i])
+            here = own[np.arange(len(i)), (own == bands_of(rb[j])).argmax(1)] == unit
+            i, j = i[here], j[here]
+        i, j = linked_pairs(sa, sb, i, j)
+        if len(i):
+            out.append(summed_links(c["node"], c["copies"], ra[i], rb[j]))
+    return links_table(out)
+
+
+def _classes(df: DataFrame, id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc, hash, set_key) of ``df``, hash that of the text, and the linked result of each class: (set_key, n,
+    class_id, keeper). keeper is the (doc, hash) of the row that stands for all that links reach: the smallest."""
     spark = df.sparkSession
     small_batches(spark)
-    docs = df.select(F.col(id).cast("bigint").alias("doc"), F.col(text).alias("txt"))
-    sketched = docs.select("doc", F.arrow_udf(_sketch, SKETCH)("txt").alias("s"))
-    rows = staged(sketched.select("doc", F.when(F.col("doc").isNotNull(), F.col("s.set_key")).alias("set_key"), "s.n_shingles", "s.bands"), "sketches")
-    classes = staged(
+    docs = df.select(F.col(id).cast("bigint").alias("doc"), F.col(text).alias("txt")).withColumn("hash", F.xxhash64("txt"))
+    sketched = docs.select("doc", "hash", F.arrow_udf(_sketch, SKETCH)("txt").alias("s"))
+    rows = staged(sketched.select("doc", "hash", F.when(F.col("doc").isNotNull(), F.col("s.set_key")).alias("set_key"), "s.n_shingles", "s.bands"), "sketches")
+    found = (
         rows.where(F.col("set_key").isNotNull())
         .groupBy("set_key")
-        .agg(F.min("doc").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")),
-        "classes",
-    )
-    bands = classes.select("rep", F.explode("bands").alias("band"))
-    buckets = bands.groupBy("band").agg(F.min("rep").alias("first"), F.count("*").alias("n")).where("n > 1")
-    met = bands.join(buckets, "band").where(F.col("rep") != F.col("first")).select(F.col("rep").alias("a"), F.col("first").alias("b"))
-    clusters = connected_components(met)
-    members = staged(clusters.join(classes.select(F.col("rep").alias("node"), "copies", "n_shingles"), "node"), "members")
-    sizes = (
-        members.groupBy("component")
-        .agg(F.count("*").alias("texts"), F.sum("n_shingles").alias("all"))
-        .select("component", F.greatest(F.ceil(F.col("texts") / BLOCK_TEXTS), F.ceil(F.col("all") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+        .agg(F.min(F.struct("doc", "hash")).alias("first"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
     )
+    # Each task numbers the classes that it writes; the numbers stand once the table is written.
+    classes = staged(found.withColumn("node", F.monotonically_increasing_id()), "classes")
+    entries = classes.select("node", F.explode("bands").alias("band"))
+    buckets = entries.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1")
+    met = entries.join(buckets, "band")
+    clusters = connected_components(met.where(F.col("node") != F.col("least")).select(F.col("node").alias("a"), F.col("least").alias("b")))
+    members = staged(clusters.join(classes, "node"), "members")
+    size = [F.count("*").alias("texts"), F.sum("n_shingles").alias("all")]
+    blocks = F.greatest(F.ceil(F.col("texts") / BLOCK_TEXTS), F.ceil(F.col("all") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    sizes = staged(members.groupBy("component").agg(*size).select("component", "texts", blocks), "sizes")
+    within = members.join(sizes.where("blocks > 1").select("component"), "component", "left_semi").select("component", "n_shingles", F.explode("bands").alias("band"))
+    within = staged(within.groupBy("component", "band").agg(*size).where("texts > 1").select("component", "band", "texts", blocks), "within")
+    square = F.col("texts").cast("double") * F.col("texts")
+    loose = within.groupBy("component").agg(F.sum(square).alias("pairs")).join(sizes, "component").where(F.col("pairs") < square).select("component", F.lit(True).alias("by_bucket"))
     groups = int((members.agg(F.sum("n_shingles")).first()[0] or 0) // BLOCK_SHINGLES) + 1
-    placed = members.join(sizes, "component").select(
-        F.col("node").alias("rep"), "copies", F.col("component").alias("cluster"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
+    placed = members.join(sizes.drop("texts"), "component").join(loose, "component", "left").select(
+        "node", "first", "copies", "bands", F.col("component").alias("unit"), "blocks", F.coalesce("by_bucket", F.lit(False)).alias("by_bucket")
     )
-    # One plan at every size: the members are shuffled to the texts even where they are few enough to broadcast.
-    content = docs.join(placed.hint("merge"), F.col("doc") == F.col("rep")).select("rep", "copies", "cluster", "blocks", "block", F.arrow_udf(_content, "struct<values:binary,shingles:binary>")("txt").alias("c"))
-    # A block meets each block of its cluster once, itself included; small clusters share a group.
+    # One text for each class, which meets it by the id and text of one of its rows; rows that repeat both meet before
+    # they are shuffled. One plan at every size: the members are shuffled to the texts, few as they may be.
+    texts = docs.where(F.col("doc").isNotNull()).groupBy("doc", "hash").agg(F.first("txt").alias("txt"))
+    content = texts.join(placed.hint("merge"), (F.col("doc") == F.col("first.doc")) & (F.col("hash") == F.col("first.hash")))
+    content = content.select("node", "copies", "bands", "unit", "blocks", "by_bucket", F.arrow_udf(_content, "struct<values:binary,shingles:binary>")("txt").alias("c"))
+    if loose.limit(1).count():
+        content = staged(content, "content")
+        split = content.where("by_bucket").drop("blocks").select("*", F.explode("bands").alias("band"))
+        split = split.join(within.select(F.col("component").alias("unit"), "band", "blocks"), ["unit", "band"])
+        content = content.where(~F.col("by_bucket")).unionByName(split.drop("unit").withColumnRenamed("band", "unit"))
+    # A block meets each block of its unit once, itself included; small units share a group.
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("block")).alias("left"), F.greatest(x, F.col("block")).alias("right")))
     dealt = (
-        content.select("rep", "copies", "cluster", "blocks", "block", "c", F.explode(pairs).alias("p"))
+        content.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .select("*", F.explode(pairs).alias("p"))
         .select(
-            "rep", "copies", "cluster", "block", "p.left", "p.right", "c.values", "c.shingles",
-            F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(groups))).otherwise(F.xxhash64("cluster", "p.left", "p.right")).alias("group"),
+            "node", "copies", "unit", "by_bucket", "block", "p.left", "p.right", "c.values", "c.shingles", F.when(F.col("by_bucket"), F.col("bands")).otherwise(F.array().cast("array<bigint>")).alias("bands"),
+            F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("unit"), F.lit(groups))).otherwise(F.xxhash64("unit", "p.left", "p.right")).alias("group"),
         )
     )
-    links = staged(dealt.groupBy("group").applyInArrow(_compare, "rep bigint, n bigint, root bigint"), "links")
-    joined = connected_components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    sums = links.groupBy(F.col("rep").alias("node")).agg(F.sum("n").alias("n"))
-    result = staged(
-        classes.select("set_key", "rep", "copies")
-        .join(sums.withColumnRenamed("node", "rep"), "rep", "left")
-        .join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left")
-        .select("set_key", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "rep").alias("component")),
-        "classes",
-    )
-    return (
-        rows.select("doc", "set_key")
-        .join(result, "set_key", "left")
-        .select(
-            F.col("doc").alias("doc_id"),
-            F.coalesce("n", F.lit(0)).cast("bigint").alias("n_links"),
-            F.coalesce("component", "doc").alias("class_id"),
-            F.coalesce(F.coalesce("component", "doc") == F.col("doc"), F.lit(True)).alias("kept"),
-        )
-    )
+    links = staged(dealt.groupBy("group").applyInArrow(_compare, LINKS_SQL), "links")
+    result = linked_classes(classes, links, "doc")
+    drop_staged(classes, clusters, members, sizes, within, links, *([content] if hasattr(content, "staged_at") else []))
+    return rows, result
+
+
+def linked_classes(classes: DataFrame, links: DataFrame, id: str) -> DataFrame:
+    """(set_key, n, class_id, keeper) of classes (set_key, node, copies, first) and their ``LINKS``. first is a struct
+    with the field ``id`` before others; the least of those that links reach is the keeper, and its id the class's."""
+    joined = connected_components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    sums = links.groupBy("node").agg(F.sum("n").alias("n"))
+    all_ = classes.select("set_key", "node", "copies", "first").join(sums, "node", "left").join(joined, "node", "left")
+    all_ = all_.select("set_key", "first", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), "component")
+    keepers = all_.where("component IS NOT NULL").groupBy("component").agg(F.min("first").alias("keeper"))
+    out = all_.join(keepers, "component", "left").withColumn("keeper", F.coalesce("keeper", "first"))
+    out = staged(out.select("set_key", "n", F.col(f"keeper.{id}").alias("class_id"), "keeper"), "result")
+    drop_staged(joined)
+    return out
+
+
+def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each row of ``df``: (doc_id, n_links, class_id, kept).
+
+    n_links counts the other rows linked directly, class_id is the smallest id reachable by links, its own included,
+    and kept marks the rows with that id.
+    """
+    rows, result = _classes(df, id, text)
+    return rows.select("doc", "set_key").join(result, "set_key", "left").select(
+        F.col("doc").alias("doc_id"),
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("n_links"),
+        F.coalesce("class_id", "doc").alias("class_id"),
+        F.coalesce(F.coalesce("class_id", "doc") == F.col("doc"), F.lit(True)).alias("kept"),
+    )
+
+
+def keep_one(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df`` without those that are near duplicates of a row that stays: of all that links reach, the row
+    with the smallest id, and of its texts the one with the least hash. Of rows that repeat an id and a text one stays,
+    that with the least hash of the other columns.
+
+    A row goes for its own text only, so a text that shares its id with a copy stays; rows with a null id stay.
+    """
+    rows, result = _classes(df, id, text)
+    fate = rows.where(F.col("set_key").isNotNull()).join(result.select("set_key", "keeper"), "set_key")
+    away = fate.where((F.col("doc") != F.col("keeper.doc")) | (F.col("hash") != F.col("keeper.hash"))).select(F.col("doc").alias("_doc"), F.col("hash").alias("_hash"))
+    inner = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row")).select("_row", F.col(f"_row.`{id}`").cast("bigint").alias("_doc"), F.xxhash64(F.col(f"_row.`{text}`")).alias("_hash"))
+    others = [f"_row.`{f.name}`" for f in df.schema if f.name not in (id, text) and f.dataType.typeName() not in ("map", "variant")]
+    once = inner.where(F.col("_doc").isNotNull()).groupBy("_doc", "_hash").agg(F.min_by("_row", F.xxhash64(F.lit(0), *others)).alias("_row"))
+    left = once.join(away, ["_doc", "_hash"], "left_anti").select("_row").unionByName(inner.where(F.col("_doc").isNull()).select("_row"))
+    return left.select("_row.*")
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

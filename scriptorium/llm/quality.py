@@ -4,7 +4,8 @@ Each class has a normal density over the statistics; its covariance is shrunk to
 sphere. The Cholesky factors are kept, so that a score is the difference of two Mahalanobis log-densities.
 
 Defined results: null and empty texts have the statistics of an empty text and get a score like any other; repeated
-rows get equal scores; with no training rows, or rows of one class only, every score is the smoothed share of good rows.
+rows get equal scores; a null id is in no fold, so that it is not held out; with no training rows, or rows of one class
+only, every score is the smoothed share of good rows; an empty table gives no rows; extra columns are kept.
 """
 
 from __future__ import annotations
@@ -96,9 +97,10 @@ class QuadraticDiscriminant:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, k: int = FOLDS, held: int = HELD, most: int = TRAIN_ROWS) -> QuadraticDiscriminant:
-    """The discriminant learned from the labelled rows outside fold ``held`` of ``k``, ``most`` of them at most."""
-    rows = training_rows(docs, labels, "quality", k, held, most)
-    x = np.array([statistics(t) for t, _ in rows]).reshape(len(rows), len(statistics(None)))
+    """The discriminant learned from the labelled rows outside fold ``held`` of ``k``, ``most`` of them at most. The
+    driver gets their statistics, never a text."""
+    rows = training_rows(docs, labels, "quality", k, held, most, statistics)
+    x = np.array([np.frombuffer(x) for x, _ in rows]).reshape(len(rows), len(statistics(None)))
     return QuadraticDiscriminant(x, np.array([y for _, y in rows], int))
 
 
@@ -121,7 +123,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_quality(docs.select("doc_id", "text"), model, out="score")
     return scored.select(
         "doc_id",
-        (crc_mod_col(F.col("doc_id"), FOLDS) == HELD).alias("held_out"),
+        F.coalesce(crc_mod_col(F.col("doc_id"), FOLDS) == HELD, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )

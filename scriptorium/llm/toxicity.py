@@ -5,8 +5,9 @@ enough training texts are fitted, whatever they tell alone, those that speak for
 a weight and a short vector for each, and the products of the vectors of the terms that meet in a text are its pairwise
 interactions. What a term learns is shrunk towards nothing at each step, so that many terms can be fitted on few texts.
 
-Defined results: null and empty texts get the score of a text without known terms; repeated rows get equal scores;
-with no training rows, or rows of one class only, every score is the smoothed share of toxic rows.
+Defined results: null and empty texts get the score of a text without known terms; repeated rows get equal scores; a
+null id is in no fold, so that it is not held out; with no training rows, or rows of one class only, every score is the
+smoothed share of toxic rows; an empty table gives no rows; extra columns are kept.
 """
 
 from __future__ import annotations
@@ -46,6 +47,17 @@ def term_slots(word: str) -> tuple[int, ...]:
     return tuple(zlib.crc32(t.encode()) % SLOTS for t in terms)
 
 
+def text_slots(text: str | None, memo: dict[str, tuple[int, ...]] | None = None) -> np.ndarray:
+    """The different slots of the terms of a whole text, sorted. memo: the slots of words seen before."""
+    memo = {} if memo is None else memo
+    own: set[int] = set()
+    for word in set(WORD.findall((text or "").lower())):
+        if word not in memo:
+            memo[word] = term_slots(word)
+        own.update(memo[word])
+    return np.sort(np.fromiter(own, np.int32, len(own)))
+
+
 class Terms(dict):
     """The kept slots (renumbered) of each word, remembered up to a bound."""
 
@@ -86,9 +98,10 @@ class Incidence:
 
 
 class FactorizationMachine:
-    """score(text): the probability of the label; fitted in full batches with Adam from a fixed start."""
+    """score(terms): the probability of the label; fitted in full batches with Adam from a fixed start on rows of the
+    slots of a text, as ``text_slots`` gives them, and its label."""
 
-    def __init__(self, rows: list[tuple[str, int]], seed: int = 5):
+    def __init__(self, rows: list[tuple[np.ndarray, int]], seed: int = 5):
         y = np.array([r[1] for r in rows], np.float32)
         pos, neg = float(y.sum()), float(len(y) - y.sum())
         self.bias = np.float32(np.log((pos + 1) / (neg + 1)))
@@ -96,18 +109,12 @@ class FactorizationMachine:
         if pos and neg:
             self._fit(rows, seed)
 
-    def _fit(self, rows: list[tuple[str, int]], seed: int) -> None:
+    def _fit(self, rows: list[tuple[np.ndarray, int]], seed: int) -> None:
         seen = np.zeros((2, SLOTS), np.int32)
-        memo: dict[str, tuple[int, ...]] = {}
         texts, labels, met = [], [], set()
         mixers = np.random.default_rng(seed).integers(1, 1 << 32, (12, 1), np.uint64) | np.uint64(1)
-        for text, label in rows:
-            own: set[int] = set()
-            for word in set(WORD.findall(text.lower())):
-                if word not in memo:
-                    memo[word] = term_slots(word)
-                own.update(memo[word])
-            ids = np.fromiter(own, np.int64, len(own))
+        for slots, label in rows:
+            ids = slots.astype(np.int64)
             if len(ids):
                 # Near copies would lend their rare words the support of many texts: the first of each group is fitted on.
                 least = ((ids.astype(np.uint64) * mixers) & np.uint64(0xFFFFFFFF)).min(1).reshape(4, 3)
@@ -175,8 +182,10 @@ class FactorizationMachine:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, k: int = FOLDS, held: int = HELD, most: int = TRAIN_ROWS) -> FactorizationMachine:
-    """The machine learned from the labelled rows outside fold ``held`` of ``k``, ``most`` of them at most."""
-    return FactorizationMachine(training_rows(docs, labels, "toxic", k, held, most))
+    """The machine learned from the labelled rows outside fold ``held`` of ``k``, ``most`` of them at most. The driver
+    gets the slots of their terms, at most ``SLOTS`` numbers for a text of any length, never a text."""
+    rows = training_rows(docs, labels, "toxic", k, held, most, text_slots)
+    return FactorizationMachine([(np.frombuffer(x, np.int32), y) for x, y in rows])
 
 
 def score_toxicity(df: DataFrame, machine: FactorizationMachine, text: str = "text", out: str = "toxicity") -> DataFrame:
@@ -204,7 +213,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_toxicity(docs.select("doc_id", "text"), machine, out="score")
     return scored.select(
         "doc_id",
-        (crc_mod_col(F.col("doc_id"), FOLDS) == HELD).alias("held_out"),
+        F.coalesce(crc_mod_col(F.col("doc_id"), FOLDS) == HELD, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
