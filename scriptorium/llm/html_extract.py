@@ -4,8 +4,11 @@ A page is cut into leaf blocks: runs of text between the borders of block elemen
 ancestor tags and their class, id and role words, and of its text; the field scores the labels "text" and "other" of a
 block with its neighbour's, is trained by maximum likelihood on labelled pages, and is decoded by Viterbi.
 
-Defined results: null and empty pages have no text; markup that is not closed or not opened is tolerated; scripts,
-styles and comments never give blocks; pages of any length are read whole; extra columns are kept.
+Defined results: null and empty pages have no text; markup that is not closed or not opened is tolerated; a page that
+ends inside a tag or a comment ends before it; scripts, styles and comments never give blocks, nor do drawings, embedded
+objects and hidden templates, which do not part the text around them; where one of these is never closed only its tag
+goes, but a script or style goes on to the end; pages of any length are read whole, in time that grows with their
+length; repeated pages have equal texts; extra columns are kept.
 """
 
 from __future__ import annotations
@@ -14,7 +17,8 @@ import html
 import random
 import re
 import zlib
-from functools import cache
+from collections import Counter
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,18 +28,26 @@ from pyspark.sql import functions as F
 from scriptorium.llm.common import read, small_batches
 
 # Kinds of elements.
-RAW = ("script", "style", "textarea", "noscript", "iframe", "template", "svg", "math", "object", "canvas")
+RAW = frozenset("script style textarea noscript iframe template svg math object canvas title".split())
+#: Of these, those that go on to the end of a page where they are not closed, and those that a slash closes.
+ENDLESS, CLOSABLE = frozenset("script style textarea title".split()), frozenset("svg math".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: What an opening tag closes first, where it stands open in the same box.
 CLOSES = {"li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p"), "option": ("option",)}
 BOXES = frozenset("ul ol dl table article section main aside nav header footer div form body html blockquote figure".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)>", re.DOTALL)
+#: Where markup begins, and a whole tag. No part of a tag's pattern gives back what it took, so that it is read once;
+#: quotes bind after an equals sign only, and only where they are closed.
+MARK = re.compile(r"<(?=[A-Za-z/!?])")
+TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>")
+BOGUS = re.compile(r"<!--.*?-->|<(?!!--)[/!?][^>]*+>", re.DOTALL)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden|itemprop)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.IGNORECASE)
 PIECE = re.compile(r"[a-z]+")
 
 FEATURES = 1 << 14
+#: Nearest ancestors that give features, as pages may nest without end; feature names that a worker remembers.
+NEAREST, REMEMBERED = 48, 1 << 16
 TRAIN_PAGES, SEED = 240, 17
 STEPS, RATE, L2 = 120, 0.1, 1e-3
 
@@ -53,15 +65,22 @@ def blocks(page: str | None) -> list[Block]:
         return []
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    standing: Counter[str] = Counter()  # the names on the stack
+    unclosed: set[str] = set()  # names of which no closing tag is left
     parts: list[str] = []
     linked, links, at, n = 0, 0, 0, len(page)
 
+    def pop(k: int) -> None:
+        for name, _ in stack[k:]:
+            standing[name] -= 1
+        del stack[k:]
+
     def flush() -> None:
         nonlocal parts, linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(text, linked, tuple(x for x in stack if x[0] not in INLINE)))
+                out.append(Block(text, linked, tuple(stack[-NEAREST:])))
             parts = []
         linked = 0
 
@@ -74,16 +93,20 @@ def blocks(page: str | None) -> list[Block]:
                 linked += len(piece.strip())
 
     while at < n:
-        m = TOKEN.search(page, at)
-        if not m:
+        mark = MARK.search(page, at)
+        if not mark:
             add(page[at:])
             break
-        add(page[at : m.start()])
-        at = m.end()
-        name = m[2]
-        if not name:
+        add(page[at : mark.start()])
+        m = TAG.match(page, mark.start())
+        if not m:
+            other = BOGUS.match(page, mark.start())
+            if not other:  # the page ends inside it
+                break
+            at = other.end()
             continue
-        name = name.lower()
+        at = m.end()
+        name = m[2].lower()
         if m[1]:  # a closing tag
             if name in INLINE:
                 if name == "a" and links:
@@ -91,17 +114,24 @@ def blocks(page: str | None) -> list[Block]:
                 continue
             flush()
             links = 0
-            for k in range(len(stack) - 1, -1, -1):
+            for k in range(len(stack) - 1, -1, -1) if standing[name] else ():
                 if stack[k][0] == name:
-                    del stack[k:]
+                    pop(k)
                     break
                 if name == "p" and stack[k][0] in BOXES:
                     break
             continue
-        if name in RAW or name == "title":
-            flush()
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
-            at = end.end() if end else n
+        if name in RAW:
+            if name in CLOSABLE and m[3].endswith("/"):
+                continue
+            end = None if name in unclosed else re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.IGNORECASE).search(page, at)
+            if end:
+                if name == "math":
+                    add(BOGUS.sub(" ", TAG.sub(" ", page[at : end.start()])))
+                at = end.end()
+            else:
+                unclosed.add(name)
+                at = n if name in ENDLESS else at
             continue
         if name in INLINE:
             if name in ("br", "img", "wbr"):
@@ -115,7 +145,7 @@ def blocks(page: str | None) -> list[Block]:
             continue
         shut = CLOSES.get(name, ("p",))
         while stack and stack[-1][0] in shut:
-            stack.pop()
+            pop(len(stack) - 1)
         words: tuple[str, ...] = ()
         if m[3]:
             found = []
@@ -130,11 +160,12 @@ def blocks(page: str | None) -> list[Block]:
             words = tuple(dict.fromkeys(found))
         if not m[3].endswith("/"):
             stack.append((name, words))
+            standing[name] += 1
     flush()
     return out
 
 
-@cache
+@lru_cache(REMEMBERED)
 def _slot(name: str) -> int:
     return zlib.crc32(name.encode()) % FEATURES
 
