@@ -22,13 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group."""
-    found = jaccard_join.near_duplicates(docs)
-    drop = found.where(~F.col("kept")).select("doc_id").distinct()
-    # Rows that repeat an id and its text are one document.
-    left = docs.join(drop, "doc_id", "left_anti").withColumn("_text_hash", F.xxhash64("text"))
-    left = left.withColumn("_no_id", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
-    return left.dropDuplicates(["doc_id", "_text_hash", "_no_id"]).select(*docs.columns)
+    """The document with the smallest id of each near-duplicate group, and all that are near no other."""
+    return jaccard_join.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
