@@ -6,14 +6,16 @@ reversed-host URL key over all tasks; each task writes a run of the index as com
 directory of the first key of each block behind them. The first keys of the runs are the top level.
 
 Reading: requests, sorted by key, are looked up by binary search in the top level, in the directory of one run and in
-the lines of one block; then each archive's ranges are read in order and the records parsed.
+the lines of one block; then each archive's ranges are read in order, each once, and the records parsed. A key of the
+index is the URL key, the page's id, and the digest and place of the payload, so that captures which repeat an id and a
+URL stay apart: a request that names a digest gets that capture, one that does not gets all of its id and URL.
 
 Archives and runs get new names in each attempt, and only those of finished tasks are referred to, so tasks that are
 run again after a loss leave nothing behind that is read. Folders are opened through pyarrow's file systems.
 
-Defined results: a null page is an empty payload, a null URL has the empty key; rows that repeat both page_id and url
-are resolved to one capture, each with its row; rows with a null page_id are kept; an empty table gives no rows;
-extra columns do not matter.
+Defined results: a null page is an empty payload, a null URL has the empty key; rows that repeat page_id and url have
+each their own record, and those that repeat the payload too, equal ones; rows with a null page_id are kept; a request
+without a capture is an error of ``op4_warc``; an empty table gives no rows; extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import hashlib
 import re
 import uuid
 import zlib
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,17 +33,19 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import new_path, read, small_batches, staged
+from scriptorium.llm.common import drop_staged, new_path, read, small_batches, staged
 
 #: Payloads of so many bytes may be revisited.
 REVISIT_LEAST = 1000
-#: An archive is closed after so many bytes; lines of an index block; runs of the index.
-ARCHIVE_BYTES, BLOCK_LINES, RUNS = 64 << 20, 1000, 64
+#: An archive is closed after so many bytes; lines of an index block; bytes that a task reads back, about.
+ARCHIVE_BYTES, BLOCK_LINES, READ_BYTES = 64 << 20, 1000, 16 << 20
+#: Lines of a run of the index at least; beyond, runs and their lines both grow with the root of the captures.
+RUN_LINES = 4096
 #: Digests of repeated payloads are broadcast up to so many rows; beyond, they are joined by shuffling.
 BROADCAST_ROWS = 100_000
 NO_ID = -(1 << 63)
 
-CAPTURE = "key string, page_id bigint, file string, offset bigint, length bigint"
+CAPTURE = "key string, page_id bigint, digest string, file string, offset bigint, length bigint"
 RECORD = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 
 
@@ -49,6 +53,7 @@ def url_key(url: str | None) -> str:
     """The reversed-host key of a URL: host labels from the last, then port, path and query; without the fragment."""
     if not url:
         return ""
+    url = url.replace("\t", "%09").replace("\n", "%0A")  # a key is a field of a line
     m = re.match(r"(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)(?::(\d*))?([^#]*)", url)
     if not m:
         return url.split("#")[0]
@@ -56,6 +61,11 @@ def url_key(url: str | None) -> str:
     return ",".join(reversed(host.split("."))) + (f":{port}" if port and port not in ("80", "443") else "") + ")" + rest
 
 
+def runs_for(captures: int) -> int:
+    """How many runs an index of so many captures has."""
+    return int(captures // max(RUN_LINES, 64 * captures**0.5)) + 1
+
+
 def _line_safe(text: str) -> str:
     return "".join(f"%{ord(c):02X}" if ord(c) < 33 else c for c in text)
 
@@ -145,7 +155,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
                 pack = zlib.compressobj(3, zlib.DEFLATED, 31)
                 data = pack.compress(record(r["page_id"], r["url"], r["payload"], r["digest"], r["refers_to"])) + pack.flush()
                 to.write(data)
-                made.append((url_key(r["url"]), r["page_id"], name, at, len(data)))
+                made.append((url_key(r["url"]), r["page_id"], r["digest"], name, at, len(data)))
                 at += len(data)
                 if at >= ARCHIVE_BYTES:
                     to.close()
@@ -166,18 +176,21 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, _TYPES[t]) for c, (_, t) in zip(columns, fields, strict=True)], [n for n, _ in fields])
 
 
-RUN = "key string, page_id bigint, run string, at bigint, size bigint"
+RUN = "key string, page_id bigint, digest string, run string, at bigint, size bigint"
 
 
-def _by_key(df: DataFrame, runs: int) -> DataFrame:
-    """The rows dealt by ranges of key and id, and in that order; an id splits the rows of a key that many have."""
-    df = df.withColumn("_id", F.coalesce("page_id", F.lit(NO_ID)))
-    return df.repartitionByRange(runs, "key", "_id").sortWithinPartitions("key", "_id").drop("_id")
+def _by_key(df: DataFrame, runs: int, *last) -> DataFrame:
+    """The rows dealt by ranges of key, id and digest, and in that order; ``last`` splits the rows of a key that many
+    have. Keys are compared as bytes here, as in the index."""
+    df = df.withColumn("_id", F.coalesce("page_id", F.lit(NO_ID))).withColumn("_key", F.encode("key", "UTF-8"))
+    order = ["_key", "_id", "digest", *last]
+    return df.repartitionByRange(runs, *order).sortWithinPartitions(*order).drop("_id", "_key")
 
 
-def write_index(captures: DataFrame, folder: str, runs: int = RUNS) -> list[tuple]:
-    """Writes the index of the captures and returns its top level: for each run its first key and id, its name, and
-    where its directory is. There are ``runs`` of them at most, whatever the number of captures."""
+def write_index(captures: DataFrame, folder: str, runs: int | None = None) -> list[tuple]:
+    """Writes the index of the captures and returns its top level: for each run its first key, id and digest, its name,
+    and where its directory is. Its runs, and so what the driver holds, grow with the root of the captures."""
+    runs = runs or runs_for(captures.count())
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines: list[tuple] = []
@@ -189,17 +202,16 @@ def write_index(captures: DataFrame, folder: str, runs: int = RUNS) -> list[tupl
             if to is None:
                 name = f"{uuid.uuid4().hex}.idx"
                 to = Folder(folder).create(name)
-                first = lines[0][:2]
+                first = lines[0][:3]
             data = zlib.compress("\n".join("\t".join(map(str, x)) for x in lines).encode())
             to.write(data)
-            directory.append(f"{lines[0][0]}\t{lines[0][1]}\t{at}\t{len(data)}")
+            directory.append("\t".join(map(str, (*lines[0][:3], at, len(data)))))
             at += len(data)
             lines = []
 
         for batch in batches:
             for r in batch.to_pylist():
-                key = r["key"].replace("\t", "%09").replace("\n", "%0A")
-                lines.append((key, NO_ID if r["page_id"] is None else r["page_id"], r["file"], r["offset"], r["length"]))
+                lines.append((r["key"], NO_ID if r["page_id"] is None else r["page_id"], r["digest"], r["file"], r["offset"], r["length"]))
                 if len(lines) >= BLOCK_LINES:
                     block()
         if lines:
@@ -210,38 +222,52 @@ def write_index(captures: DataFrame, folder: str, runs: int = RUNS) -> list[tupl
             to.close()
             yield _batch([(*first, name, at, len(data))], RUN)
 
-    top = staged(_by_key(captures, runs).mapInArrow(write, RUN), "runs").collect()  # a row for each run
-    return sorted(tuple(r) for r in top)
+    held = staged(_by_key(captures, runs, "file", "offset").mapInArrow(write, RUN), "runs")
+    top = [tuple(r) for r in held.collect()]  # a row for each run
+    drop_staged(held)
+    return sorted(top, key=lambda t: (t[0].encode(), *t[1:]))
 
 
 class CaptureIndex:
-    """Looks up (key, id) by binary search; keeps the directory and the block that it read last."""
+    """Looks up captures by binary search; keeps the directory and the block that it read last."""
 
     def __init__(self, folder: str, top: list[tuple]):
-        self.folder, self.top, self.firsts = Folder(folder), top, [t[:2] for t in top]
+        self.folder, self.top, self.firsts = Folder(folder), top, [(t[0].encode(), *t[1:3]) for t in top]
         self.run, self.file, self.directory, self.block_at, self.lines = None, None, [], None, []
 
-    def find(self, key: str, page_id: int | None) -> tuple[str, int, int] | None:
-        want = key.replace("\t", "%09").replace("\n", "%0A"), NO_ID if page_id is None else page_id
-        k = bisect_right(self.firsts, want) - 1
-        if k < 0:
-            return None
+    def find(self, key: str, page_id: int | None, digest: str | None = None) -> list[tuple[str, int, int]]:
+        """(file, offset, length) of the captures of a URL key and id: the first one of the digest, all without one."""
+        want, found = (key.encode(), NO_ID if page_id is None else page_id, digest or ""), []
+        # The lines of a key may begin in the block, or the run, before the one whose first line is not less.
+        k = max(bisect_left(self.firsts, want) - 1, 0)
+        while k < len(self.top):
+            self._open(k)
+            b = max(bisect_left(self.blocks, want) - 1, 0)
+            while b < len(self.directory):
+                self._load(b)
+                for n in range(bisect_left(self.keys, want), len(self.keys)):
+                    if self.keys[n][:2] != want[:2] or (digest and self.keys[n][2] != digest):
+                        return found
+                    found.append(self.places[n])
+                    if digest:
+                        return found
+                b += 1
+            k += 1
+        return found
+
+    def _open(self, k: int) -> None:
         if self.run != k:
-            self.run, self.file, self.block_at = k, self.folder.open(self.top[k][2]), None
-            self.directory = [(a, int(b), int(c), int(d)) for a, b, c, d in (x.split("\t") for x in self._read(*self.top[k][3:]))]
-            self.blocks = [x[:2] for x in self.directory]
-        b = bisect_right(self.blocks, want) - 1
-        if b < 0:
-            return None
+            if self.file is not None:
+                self.file.close()
+            self.run, self.file, self.block_at = k, self.folder.open(self.top[k][3]), None
+            rows = [x.split("\t") for x in self._read(*self.top[k][4:])]
+            self.blocks, self.directory = [(x[0].encode(), int(x[1]), x[2]) for x in rows], [(int(x[3]), int(x[4])) for x in rows]
+
+    def _load(self, b: int) -> None:
         if self.block_at != b:
             self.block_at = b
-            self.lines = [x.split("\t") for x in self._read(*self.directory[b][2:])]
-            self.keys = [(x[0], int(x[1])) for x in self.lines]
-        n = bisect_left(self.keys, want)
-        if n == len(self.keys) or self.keys[n] != want:
-            return None
-        _, _, file, offset, length = self.lines[n]
-        return file, int(offset), int(length)
+            rows = [x.split("\t") for x in self._read(*self.directory[b])]
+            self.keys, self.places = [(x[0].encode(), int(x[1]), x[2]) for x in rows], [(x[3], int(x[4]), int(x[5])) for x in rows]
 
     def _read(self, at: int, size: int) -> list[str]:
         self.file.seek(at)
@@ -251,8 +277,9 @@ class CaptureIndex:
 FOUND = "page_id bigint, file string, offset bigint, length bigint"
 
 
-def look_up(requests: DataFrame, folder: str, top: list[tuple], runs: int = RUNS) -> DataFrame:
-    """Where the captures of the requests (page_id, url) are, as ``FOUND``; requests without a capture have no row."""
+def look_up(requests: DataFrame, folder: str, top: list[tuple], runs: int | None = None) -> DataFrame:
+    """Where the captures of the requests (page_id, url, digest) are, as ``FOUND``; digest may be null. A request
+    without a capture has one row, with a null file."""
     small_batches(requests.sparkSession)
 
     @F.arrow_udf("string")
@@ -262,15 +289,16 @@ def look_up(requests: DataFrame, folder: str, top: list[tuple], runs: int = RUNS
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = CaptureIndex(folder, top)
         for batch in batches:
-            rows = [(i, index.find(k, i)) for k, i in zip(batch["key"].to_pylist(), batch["page_id"].to_pylist(), strict=True)]
-            yield _batch([(i, *at) for i, at in rows if at], FOUND)
+            rows = zip(*(batch[c].to_pylist() for c in ("key", "page_id", "digest")), strict=True)
+            yield _batch([(i, *at) for k, i, d in rows for at in index.find(k, i, d) or [(None, None, None)]], FOUND)
 
-    wanted = requests.select(F.col("page_id").cast("bigint").alias("page_id"), keys("url").alias("key"))
-    return _by_key(wanted, runs).mapInArrow(find, FOUND)
+    wanted = requests.select(F.col("page_id").cast("bigint").alias("page_id"), keys("url").alias("key"), "digest")
+    return _by_key(wanted.withColumn("_row", F.monotonically_increasing_id()), runs or max(len(top), 1), "_row").mapInArrow(find, FOUND)
 
 
-def read_records(found: DataFrame, folder: str) -> DataFrame:
-    """The records at the ranges, as ``RECORD``; each archive is read by one task, in order."""
+def read_records(found: DataFrame, folder: str, tasks: int) -> DataFrame:
+    """The records at the ranges, as ``RECORD``, one for each row of ``found``. Archives are dealt to ``tasks`` tasks;
+    a range that many rows ask for is read once."""
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         home, name, file = Folder(folder), None, None
@@ -283,20 +311,28 @@ def read_records(found: DataFrame, folder: str) -> DataFrame:
                     name, file = r["file"], home.open(r["file"])
                 file.seek(r["offset"])
                 x = parse(zlib.decompress(file.read(r["length"]), 31))
-                made.append((x["page_id"], x["payload_bytes"], x["payload_digest"], x["record_type"], x["refers_to"]))
-            yield _batch(made, RECORD)
+                made.append((r["file"], r["offset"], x["page_id"], x["payload_bytes"], x["payload_digest"], x["record_type"], x["refers_to"]))
+            yield _batch(made, f"file string, offset bigint, {RECORD}")
         if file is not None:
             file.close()
 
-    return found.repartition("file").sortWithinPartitions("file", "offset").mapInArrow(fetch, RECORD)
+    once = found.select("file", "offset", "length").distinct().repartition(tasks, "file", F.expr(f"offset div {READ_BYTES}")).sortWithinPartitions("file", "offset")
+    records = once.mapInArrow(fetch, f"file string, offset bigint, {RECORD}")
+    return found.select("file", "offset").join(records, ["file", "offset"]).drop("file", "offset")
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes a record for every page, indexes the archives, and reads each record back through the index."""
     folder = new_path(spark, "warc")
     pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
-    top = write_index(write_archives(pages, folder), folder)
-    return read_records(look_up(pages.select("page_id", "url"), folder, top), folder)
+    captures = write_archives(pages, folder)
+    top = write_index(captures, folder)
+    size = captures.agg(F.sum("length")).first()[0] or 0
+    drop_staged(captures)
+    found = staged(look_up(pages.select("page_id", "url", F.sha1(F.encode(F.coalesce("html", F.lit("")), "UTF-8")).alias("digest")), folder, top), "found")
+    if lost := found.where("file IS NULL").count():
+        raise ValueError(f"{lost} pages have no capture")
+    return read_records(found, folder, int(size // READ_BYTES) + 1)
 
 
 OP4_SQL = f"""

@@ -116,17 +116,39 @@ def test_archive_records():
 
 def test_index_lookups(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "BLOCK_LINES", 7)
-    pages = spark.createDataFrame([(i, f"http://h{i % 5}.com/{i % 11}", "x" * i) for i in range(300)], "page_id bigint, url string, html string")
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 5000)
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 3)  # repeated digests are joined by shuffling
+    rows = [(i, f"http://h{i % 5}.com/{i % 11}", "x" * i) for i in range(300)] + [(500, "http://h1.com/a\tb", f"text {i}") for i in range(30)] + [(501, "http://h1.com/a b", "t"), (502, "http://h1.com/a!", "t")]
+    rows += [(600 + i, f"http://é.com/{i}", "y" * 2000 + str(i // 3)) for i in range(30)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
     folder = f"file://{tmp_path}/w"
     top = warc.write_index(warc.write_archives(pages, folder), folder, runs=4)
-    assert 1 <= len(top) <= 4
+    assert 1 < len(top) <= 4 and len(list(tmp_path.glob("w/*.warc.gz"))) > 3
     index = warc.CaptureIndex(folder, top)
-    for i in range(300):
-        file, offset, length = index.find(warc.url_key(f"http://h{i % 5}.com/{i % 11}"), i)
+    for i, url, html_ in random.Random(1).sample(rows, len(rows)):
+        digest = warc.hashlib.sha1(html_.encode()).hexdigest()
+        [(file, offset, length)] = index.find(warc.url_key(url), i, digest)
         with warc.Folder(folder).open(file) as f:
             f.seek(offset)
-            assert warc.parse(warc.zlib.decompress(f.read(length), 31))["page_id"] == i
-    assert index.find("com,h9)/", 1) is None and index.find("", None) is None
+            back = warc.parse(warc.zlib.decompress(f.read(length), 31))
+        assert (back["page_id"], back["payload_digest"]) == (i, digest) and back["refers_to"] == (602 + (i - 600) // 3 * 3 if i >= 600 and i % 3 != 2 else None)
+    assert len(index.find(warc.url_key("http://h1.com/a\tb"), 500)) == 30 and len(set(index.find(warc.url_key("http://h1.com/a\tb"), 500))) == 30
+    assert index.find("com,h9)/", 1) == index.find("", None) == index.find("zz", 5) == index.find("com,h1)/1", 1, "0" * 40) == []
+    asked = spark.createDataFrame([(1, "http://h1.com/1", None), (500, "http://h1.com/a\tb", None), (9, "http://no", None)], "page_id bigint, url string, digest string")
+    assert sorted((r["page_id"], r["file"] is None) for r in warc.look_up(asked, folder, top).collect()) == [(1, False), (9, True)] + [(500, False)] * 30
+
+
+def test_records_of_repeated_pages(spark, tmp_path):
+    long = "z" * 1500
+    rows = [(1, "http://a/b", "first"), (1, "http://a/b", "second one"), (1, "http://a/b", "second one"), (2, "http://a/b", long), (3, "u", long), (3, "u", long), (None, None, None), (None, None, long)]
+    spark.createDataFrame([(*r, 1, "x") for r in rows], "page_id bigint, url string, html string, file int, digest string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(map(str, (tuple(r) for r in warc.op4_warc(spark, str(tmp_path)).collect())))
+    want = [(i, len(h or ""), warc.hashlib.sha1((h or "").encode()).hexdigest(), "revisit" if h == long and i != 3 else "response", 3 if h == long and i != 3 else None) for i, _, h in rows]
+    assert got == sorted(map(str, want))
+
+
+def test_runs_grow_with_the_root():
+    assert warc.runs_for(0) == 1 and 8 < warc.runs_for(10**6) < 20 and warc.runs_for(10**10) < 2000
 
 
 def reached(link):
