@@ -1,17 +1,19 @@
 """Benchmark decontamination: size-partitioned MinHash containment search, verified by exact shingle containment.
 
-Items are dealt into classes by their number of shingles. The sketch of an item is its smallest shingle hashes, as many
-as the largest item of its class may miss and still be contained, and a few more; so a document that holds 0.8 of an
-item's shingles always holds some of its sketch, however long the document is, and how many is known. Documents that
-hold that many are verified against all shingles of the item.
+Items are parted into classes by their number of shingles, and each class has a table of its own with its own bound. The
+sketch of an item is its smallest shingle hashes, as many as the largest item of its class may miss and still be
+contained, and a few more; so a document that holds 0.8 of an item's shingles always holds so many of its sketch,
+however long the document is. Documents that hold that many are verified against all shingles of the item. A document
+with too few shingles for a class does not ask its table.
 
-The benchmark is a stated query set: it is searched for in blocks of bounded size, each in one pass over the
-documents without a shuffle.
+A benchmark of up to ``BLOCK_SHINGLES`` shingles, whose size is counted first, is broadcast, and searched for in one pass
+over the documents without a shuffle. A larger one is never gathered: the sketches are a table that is joined by
+shuffling to the shingles of the documents, each different text once, and what meets often enough is verified.
 
 Defined results: texts without words (null, empty) are contained in nothing and contain nothing; items and documents of
 one to four words have one shingle, so an item of fewer than five words is found only in a document of exactly its
-words, and is not searched for inside longer ones, as in the SQL; repeated items and documents are reported for each of their rows; with an empty
-benchmark no document has hits; extra columns are kept.
+words, and is not searched for inside longer ones, as in the SQL; repeated items and documents are reported for each of
+their rows; with an empty benchmark no document has hits; an empty table gives no rows; extra columns are kept.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from scriptorium.llm.shingles import shingle_set, shingles_sql
 CONTAINED = 0.8
 #: Shingles of a sketch beyond those that a contained item may miss.
 SPARE = 8
-#: Shingles of the items that are searched for in one pass, about.
+#: Shingles of a benchmark that may be broadcast: 16 MB of them.
 BLOCK_SHINGLES = 2_000_000
 HITS = "array<struct<item_id:bigint,n_item:bigint,n_shared:bigint,containment:double>>"
 
@@ -37,71 +39,101 @@ def may_miss(n: int, share: float) -> int:
     return int((1 - share) * n + 1e-9)
 
 
+def size_class(n: int) -> int:
+    """The class of an item of ``n`` shingles: it holds the sizes from 2^class to 2^(class + 1) - 1."""
+    return n.bit_length() - 1
+
+
+def sketch_size(n: int, share: float) -> int:
+    """How many of the smallest hashes of an item make its sketch; the bound of its class, or all of them."""
+    return min(n, may_miss((2 << size_class(n)) - 1, share) + SPARE)
+
+
+def least_met(n: int, share: float) -> int:
+    """How many hashes of its sketch a text that contains an item of ``n`` shingles holds at least."""
+    return max(1, sketch_size(n, share) - may_miss(n, share))
+
+
+class ClassTable:
+    """The sketches of the items of one size class: sorted hashes with their items, and the full sets."""
+
+    def __init__(self, items: list[tuple[int, int | None, np.ndarray]], share: float):
+        self.items = items
+        self.least_size = min(len(s) - may_miss(len(s), share) for _, _, s in items)
+        self.least = np.array([least_met(len(s), share) for _, _, s in items])
+        sketches = [s[: sketch_size(len(s), share)] for _, _, s in items]  # the sets are sorted
+        flat, owners = np.concatenate(sketches), np.repeat(np.arange(len(items)), [len(x) for x in sketches])
+        order = np.argsort(flat, kind="stable")
+        self.hashes, self.owners = flat[order], owners[order]
+
+    def candidates(self, few: np.ndarray) -> np.ndarray:
+        """The items of which the hashes hold enough."""
+        first, last = np.searchsorted(self.hashes, few, "left"), np.searchsorted(self.hashes, few, "right")
+        met = [self.owners[a:b] for a, b in zip(first, last, strict=True) if b > a]
+        if not met:
+            return np.zeros(0, np.int64)
+        found, n = np.unique(np.concatenate(met), return_counts=True)
+        return found[n >= self.least[found]]
+
+
 class ItemIndex:
-    """The sketches of a block of items, by size class, and their full sets for verification."""
+    """The tables of a benchmark, by size class."""
 
     def __init__(self, items: list[tuple[int | None, np.ndarray]], share: float = CONTAINED):
         self.share = share
-        self.items = [(i, s) for i, s in items if len(s)]
-        hashes, owners, self.least = [], [], []
-        for k, (_, s) in enumerate(self.items):
-            largest = (1 << int(len(s)).bit_length()) - 1  # of the size class
-            size = min(len(s), may_miss(largest, share) + SPARE)
-            self.least.append(max(1, size - may_miss(len(s), share)))
-            hashes.append(s[:size])  # the sets are sorted
-            owners.append(np.full(size, k))
-        flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        order = np.argsort(flat, kind="stable")
-        self.hashes = flat[order]
-        self.owners = (np.concatenate(owners) if owners else np.zeros(0, int))[order]
+        by_class: dict[int, list[tuple[int, int | None, np.ndarray]]] = {}
+        for k, (i, s) in enumerate(items):
+            if len(s):
+                by_class.setdefault(size_class(len(s)), []).append((k, i, s))
+        self.tables = [ClassTable(by_class[c], share) for c in sorted(by_class)]
+        # Most hashes of a text are in no sketch; a bit for each tells most of them at once.
+        flat = np.concatenate([t.hashes for t in self.tables]) if self.tables else np.zeros(0, np.uint64)
         self.bits = max(16, int(len(flat) * 16).bit_length())
         self.maybe = np.zeros(1 << self.bits, bool)
-        self.maybe[self._low(self.hashes)] = True
+        self.maybe[self._low(flat)] = True
 
     def _low(self, h: np.ndarray) -> np.ndarray:
         return (h & np.uint64((1 << self.bits) - 1)).astype(np.int64)
 
     def hits(self, text: str | None) -> list[dict]:
-        """The items that the text contains, in the order of the block."""
-        if not self.items:
+        """The items that the text contains, in the order of the benchmark."""
+        if not self.tables:
             return []
         own = shingle_set(text)
         few = own[self.maybe[self._low(own)]]
-        if not len(few):
-            return []
-        first, last = np.searchsorted(self.hashes, few, "left"), np.searchsorted(self.hashes, few, "right")
-        found = np.concatenate([self.owners[a:b] for a, b in zip(first, last, strict=True)])
         out = []
-        for k, n in zip(*np.unique(found, return_counts=True), strict=True):
-            if n < self.least[k]:
-                continue
-            item, whole = self.items[k]
-            shared = int(np.isin(whole, own, assume_unique=True).sum())
-            if shared >= len(whole) - may_miss(len(whole), self.share):
-                out.append({"item_id": item, "n_item": len(whole), "n_shared": shared, "containment": shared / len(whole)})
-        return out
-
-
-def item_blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", share: float = CONTAINED, block: int = BLOCK_SHINGLES):
-    """Yields an index for each block of items; a block holds about ``block`` shingles, whatever the number of items."""
+        for table in self.tables if len(few) else ():
+            if len(own) < table.least_size:
+                break
+            for k in table.candidates(few):
+                number, item, whole = table.items[k]
+                shared = int(np.isin(whole, own, assume_unique=True).sum())
+                if shared >= len(whole) - may_miss(len(whole), self.share):
+                    out.append((number, {"item_id": item, "n_item": len(whole), "n_shared": shared, "containment": shared / len(whole)}))
+        return [hit for _, hit in sorted(out, key=lambda x: x[0])]
+
+
+def item_sets(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
+    """(item, set, n): the items that have shingles, with them, sorted, and their number; written to the shared folder."""
     small_batches(benchmark.sparkSession)
 
     @F.arrow_udf("binary")
     def sets(texts: pa.Array) -> pa.Array:
         return pa.array([shingle_set(t.as_py()).tobytes() for t in texts], pa.binary())
 
-    items = staged(benchmark.select(F.col(item).cast("bigint").alias("item"), sets(F.col(text)).alias("set")), "items")
-    total = items.agg(F.sum(F.octet_length("set"))).first()[0] or 0
-    n = int(total // (8 * block)) + 1
-    for b in range(n):
-        rows = items.where(F.pmod(F.xxhash64("set", "item"), F.lit(n)) == b).collect()
-        rows.sort(key=lambda r: (r["item"] is not None, r["item"] or 0, bytes(r["set"])))
-        yield ItemIndex([(r["item"], np.frombuffer(r["set"], np.uint64)) for r in rows], share)
+    rows = benchmark.select(F.col(item).cast("bigint").alias("item"), sets(F.col(text)).alias("set"))
+    return staged(rows.where(F.octet_length("set") > 0).withColumn("n", (F.octet_length("set") / 8).cast("bigint")), "items")
 
 
-def hits_in(text: Column | str, index, spark: SparkSession) -> Column:
-    """The items of a block that each whole text contains."""
-    sent = spark.sparkContext.broadcast(index)  # one block, of bounded size
+def index_of(items: DataFrame, share: float = CONTAINED) -> ItemIndex:
+    """The index of a benchmark that may be broadcast."""
+    rows = sorted(items.collect(), key=lambda r: (r["item"] is not None, r["item"] or 0, bytes(r["set"])))
+    return ItemIndex([(r["item"], np.frombuffer(r["set"], np.uint64)) for r in rows], share)
+
+
+def hits_in(text: Column | str, index: ItemIndex, spark: SparkSession) -> Column:
+    """The items of a benchmark that each whole text contains."""
+    sent = spark.sparkContext.broadcast(index)  # its size has been counted
 
     @F.arrow_udf(HITS)
     def find(texts: pa.Array) -> pa.Array:
@@ -111,11 +143,53 @@ def hits_in(text: Column | str, index, spark: SparkSession) -> Column:
     return find(F.col(text) if isinstance(text, str) else text)
 
 
+def hits_by_shuffle(texts: DataFrame, items: DataFrame, share: float) -> DataFrame:
+    """(hash, hits) of the different texts (hash, text) that contain items (item, set, n). Nothing is gathered: sketches
+    and shingles meet by hash, pairs that meet often enough meet their full sets by keys."""
+
+    @F.arrow_udf("array<bigint>")
+    def shingles(column: pa.Array) -> pa.Array:
+        return pa.array([shingle_set(t.as_py()).view(np.int64) for t in column], pa.list_(pa.int64()))
+
+    @F.arrow_udf("array<bigint>")
+    def sketch(sets: pa.Array) -> pa.Array:
+        found = [np.frombuffer(s.as_py(), np.int64) for s in sets]
+        return pa.array([s[: sketch_size(len(s), share)] for s in found], pa.list_(pa.int64()))
+
+    @F.arrow_udf("bigint")
+    def least(sizes: pa.Array) -> pa.Array:
+        return pa.array([least_met(n, share) for n in sizes.to_pylist()], pa.int64())
+
+    @F.arrow_udf("bigint")
+    def shared(sets: pa.Array, column: pa.Array) -> pa.Array:
+        return pa.array([np.isin(np.frombuffer(s.as_py(), np.uint64), shingle_set(t.as_py()), assume_unique=True).sum() for s, t in zip(sets, column, strict=True)], pa.int64())
+
+    items = staged(items.withColumn("number", F.monotonically_increasing_id()), "numbered")
+    sketches = items.select("number", least("n").alias("least"), F.explode(sketch("set")).alias("h"))
+    asked = texts.select("hash", F.explode(shingles("text")).alias("h"))
+    met = asked.join(sketches, "h").groupBy("hash", "number").agg(F.count("*").alias("met"), F.first("least").alias("least")).where("met >= least").select("hash", "number")
+    # The pairs are staged, so that their side of the next joins has its true size.
+    pairs = staged(met, "pairs")
+    checked = pairs.join(items, "number").join(texts, "hash").select("hash", "item", "set", "n", shared("set", "text").alias("k"))
+    few = F.floor((1 - F.lit(share)) * F.col("n") + F.lit(1e-9)).cast("bigint")
+    hit = F.struct(F.col("item").alias("item_id"), F.col("n").alias("n_item"), F.col("k").alias("n_shared"), (F.col("k") / F.col("n")).alias("containment"))
+    found = checked.where(F.col("k") >= F.col("n") - few).groupBy("hash").agg(F.array_sort(F.collect_list(F.struct(F.col("item").isNotNull().alias("a"), "item", "set", hit.alias("hit")))).alias("hits"))
+    return found.select("hash", F.col("hits.hit").alias("hits"))
+
+
 def find_contamination(df: DataFrame, benchmark: DataFrame, text: str = "text", out: str = "contamination", share: float = CONTAINED) -> DataFrame:
-    """``df`` with the items that each text contains, as ``HITS``."""
+    """``df`` with the items that each text contains, as ``HITS``, in the order of their ids."""
     small_batches(df.sparkSession)
-    columns = [hits_in(text, index, df.sparkSession) for index in item_blocks(benchmark, share=share)]
-    return df.withColumn(out, F.concat(*columns) if len(columns) > 1 else columns[0])
+    items = item_sets(benchmark)
+    if (items.agg(F.sum("n")).first()[0] or 0) <= BLOCK_SHINGLES:
+        return df.withColumn(out, hits_in(text, index_of(items, share), df.sparkSession))
+    # Each different text once, by a digest of all of it; rows that repeat it meet before they are shuffled.
+    digest = F.unhex(F.md5(F.col(f"`{text}`").cast("binary")))
+    texts = staged(df.where(F.col(f"`{text}`").isNotNull()).select(digest.alias("hash"), F.col(f"`{text}`").alias("text")).groupBy("hash").agg(F.first("text").alias("text")), "texts")
+    hits = hits_by_shuffle(texts, items, share).select(F.col("hash").alias("_h"), F.col("hits").alias("_hits"))
+    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), digest.alias("_d")).join(hits, F.col("_d") == F.col("_h"), "left")
+    kept = [F.col(f"_row.`{c}`").alias(c) for c in df.columns if c != out]
+    return rows.select(*kept, F.coalesce("_hits", F.array().cast(HITS)).alias(out))
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

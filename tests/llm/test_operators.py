@@ -313,6 +313,28 @@ def test_small_items_in_a_long_text():
         assert {h["item_id"] for h in index.hits(text)} == want
 
 
+def test_benchmarks_beyond_a_broadcast(spark, monkeypatch):
+    rng = random.Random(9)
+    vocabulary = [f"v{i}" for i in range(500)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(2, 60)))) for i in range(40)] + [(None, " ".join(vocabulary[:30])), (3, None), (4, ""), (5, " ".join(vocabulary[:30]))]
+    docs = []
+    for i in range(60):
+        text = rng.choices(vocabulary, k=rng.choice((3, 50, 2000)))
+        for _, t in rng.sample(items[:41], 3):
+            text[(at := rng.randrange(len(text))) : at] = t.split()[rng.randint(0, 1) :]
+        docs.append((i % 50, " ".join(text)))
+    docs += [(7, docs[0][1]), (8, None), (9, ""), (None, docs[1][1]), (70, items[0][1])]
+    df = spark.createDataFrame([(*d, "a", "b", "c") for d in docs], "doc_id bigint, text string, item string, hash string, _row string")
+    benchmark = spark.createDataFrame([(*i, "x") for i in items], "item_id bigint, text string, n string")
+    found = lambda: sorted((str(r["doc_id"]), str(r["text"]), str(r["found"])) for r in decontaminate.find_contamination(df, benchmark, out="found").collect())
+    one = found()
+    assert sum("item_id" in r[2] for r in one) > 30
+    for few in (0, 100):
+        monkeypatch.setattr(decontaminate, "BLOCK_SHINGLES", few)
+        assert found() == one
+    assert decontaminate.find_contamination(df, benchmark, out="found").columns == [*df.columns, "found"]
+
+
 def test_posterior_bound():
     for n in (28, 56, 252):
         least = jaccard_join.least_matches(n)
