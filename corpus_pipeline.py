@@ -2,7 +2,11 @@
 items go, secrets are masked, and what is left is encoded.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of docs. A stage
-reads all that the one before kept. Rows with a null text or id pass the filters; a repeated row is a copy and stays once.
+reads all that the one before kept.
+
+Defined results: rows with a null text or id pass the filters, and so do empty texts unless the machine scores them
+toxic; rows that repeat an id and a text stay once; a text that shares its id with another goes for its own reasons only;
+extra columns are kept up to the last stage, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -14,11 +18,23 @@ from scriptorium.llm import bpe, decontaminate, jaccard_join, secrets, toxicity
 from scriptorium.llm.common import read, small_batches, staged
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column has it."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
+
+
+def columns(docs: DataFrame) -> list[str]:
+    return [f"`{c}`" for c in docs.columns]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine scores below its threshold."""
     machine = toxicity.fit_toxicity(docs, read(spark, sf_dir, "labels"))
-    scored = toxicity.score_toxicity(docs, machine, out="_toxicity_score")
-    return scored.where(F.col("_toxicity_score") < toxicity.THRESHOLD).select(*docs.columns)
+    score = unused(docs, "_toxicity_score")
+    scored = toxicity.score_toxicity(docs, machine, out=score)
+    return scored.where(F.col(score) < toxicity.THRESHOLD).select(*columns(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +44,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
-    found = decontaminate.find_contamination(docs, read(spark, sf_dir, "benchmark"), out="_benchmark_hits")
-    return found.where(F.size("_benchmark_hits") == 0).select(*docs.columns)
+    hits = unused(docs, "_benchmark_hits")
+    found = decontaminate.find_contamination(docs, read(spark, sf_dir, "benchmark"), out=hits)
+    return found.where(F.size(hits) == 0).select(*columns(docs))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +54,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     masked = secrets.redact_secrets(docs)
     if "n_chars" in docs.columns:
         masked = masked.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return masked.select(*docs.columns)
+    return masked.select(*columns(docs))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
