@@ -1,11 +1,16 @@
 """Byte-pair encoding by backtracking over longest token matches, and decoding through an offset table.
 
-A word is read left to right. An Aho-Corasick automaton gives the longest token at a place; a token may follow
-another only where a pair-compatibility table says that merging in rank order would leave the border between them
-alone. Where no token fits, the encoder steps back and tries the next shorter one. Places found to be dead ends are
-marked, so each place is left at most once for each token that ends there, and the result equals that of the merges.
+An Aho-Corasick automaton reads a word once and gives its longest tokens from left to right. A token may follow another
+only where a pair-compatibility table says that merging in rank order would leave the border between them alone; where
+all borders hold, the tokens are the result. Else the encoder goes back to the place and tries the next shorter token,
+and the longest ones again from there. Places found to be dead ends are marked, so each place is left at most once for
+each token that ends there, and the result equals that of the merges.
 
-Defined results: null and empty texts give no ids and decode to the empty text; extra columns are kept.
+The vocabulary file is a parameter; without one the environment variable SCRIPTORIUM_BPE names it, and without that the
+installed public_tokenizers package. It has to lie at that path on every executor.
+
+Defined results: null and empty texts give no ids and decode to the empty text; repeated texts give equal ids; an empty
+table gives no rows; extra columns are kept.
 """
 
 from __future__ import annotations
@@ -86,7 +91,7 @@ class Bpe(dict):
         self.letters = str.maketrans({chr(b): c for b, c in enumerate(letters)})
         self.specials = {t["content"]: int(t["id"]).to_bytes(4, "little") for t in spec.get("added_tokens") or []}
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) + ")") if self.specials else None
-        self.compatible: dict[int, bool] = {}  # by left << 16 | right
+        self.compatible: dict[int, bool] = {}  # by left << 32 | right
         # A token that the merges would not leave whole can never appear in a result.
         self.rank_of = rank_of
         self.automaton = ahocorasick.Automaton()
@@ -131,11 +136,25 @@ class Bpe(dict):
                     limit, b = b + 1, self.halves[b][0]
         if len(self.compatible) > 2_000_000:
             self.compatible.clear()
-        self.compatible[left << 16 | right] = ok
+        self.compatible[left << 32 | right] = ok
         return ok
 
     def ranks(self, word: str) -> list[int]:
         """The tokens of a word of byte letters."""
+        out = [token for _, token in self.automaton.iter_long(word)]
+        compatible, last = self.compatible, -1
+        if sum(map(self.lengths.__getitem__, out)) != len(word):
+            return self.step_back(word)
+        for token in out:
+            if last >= 0:
+                ok = compatible.get(last << 32 | token)
+                if not (self.fits(last, token) if ok is None else ok):
+                    return self.step_back(word)
+            last = token
+        return out
+
+    def step_back(self, word: str) -> list[int]:
+        """The tokens of a word whose longest tokens do not fit together."""
         path, longest, lengths, compatible, most, n = self.automaton.longest_prefix, self.longest, self.lengths, self.compatible, self.most, len(word)
         out: list[int] = []
         at, dead, last = 0, None, -1
@@ -143,7 +162,7 @@ class Bpe(dict):
         while True:
             end = at + lengths[token]
             if dead is None or end not in dead:
-                ok = last < 0 or compatible.get(last << 16 | token)
+                ok = last < 0 or compatible.get(last << 32 | token)
                 if ok is None:
                     ok = self.fits(last, token)
                 if ok:

@@ -3,16 +3,20 @@
 The patterns find keyed assignments, access keys and long hexadecimal runs. What they leave is looked through for
 other random strings: a first-order Markov model of the characters of random strings and one of ordinary
 identifiers are trained from labelled samples, and a token is a secret where the first explains it better by a
-margin, in all and per character.
+margin, in all and per character. Of a token that is not one as a whole, such as a path of words that ends in a key, the
+stretch that the first explains best is looked at likewise.
 
-Defined results: null and empty texts have no spans; extra columns are kept; texts of any length are scanned whole.
+Defined results: null and empty texts have no spans; tokens without a letter are numbers, not secrets; extra columns are
+kept; texts of any length are scanned whole; repeated texts have equal spans; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
 from functools import cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +34,7 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # the runs of [0-9a-f]+ that are long enough
 ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-TOKEN_LEAST = 20
+TOKEN_LEAST = 16
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % TOKEN_LEAST)
 #: A token is random from so much log-likelihood ratio in all, and so much per character.
 LLR_LEAST, LLR_PER_CHAR = 12.0, 0.4
@@ -108,9 +112,26 @@ class MarkovRatio:
             np.add.at(counts, (ids[:-1], ids[1:]), 1)
         return np.log(counts / counts.sum(1, keepdims=True))
 
-    def ratio(self, token: str) -> float:
+    def steps(self, token: str) -> np.ndarray:
+        """The log-likelihood ratio of each character after the one before it."""
         ids = np.array(self._ids(token))
-        return float(self.table[ids[:-1], ids[1:]].sum())
+        return self.table[ids[:-1], ids[1:]]
+
+    def ratio(self, token: str) -> float:
+        return float(self.steps(token).sum())
+
+    def best_stretch(self, token: str) -> tuple[int, int, float] | None:
+        """(start, end, ratio) of what is random in a token: all of it, or else the stretch with the greatest ratio
+        beyond half the margin of a character; None where that is too short or not random."""
+        steps = self.steps(token)
+        enough = lambda a, b: b - a >= TOKEN_LEAST and (x := steps[a:b].sum()) >= LLR_LEAST and x >= LLR_PER_CHAR * (b - a)
+        if enough(0, len(steps)):
+            return 0, len(steps), float(steps.sum())
+        sums = np.concatenate([[0.0], np.cumsum(steps - LLR_PER_CHAR / 2)])
+        rise = sums - np.minimum.accumulate(sums)
+        b = int(rise.argmax())
+        a = int(sums[: b + 1].argmin())
+        return (a, b, float(steps[a:b].sum())) if enough(a, b) else None
 
 
 @cache
@@ -136,16 +157,15 @@ def scan_text(text: str | None, model: MarkovRatio) -> list[dict]:
         return []
     base = base_spans(text)
     spans = [{"kind": k, "start": a, "end": b, "score": None} for k, a, b in base]
+    starts, ends = [x for _, x, _ in base], list(accumulate((y for _, _, y in base), max))
     for m in TOKEN.finditer(text):
         a, b = m.span()
-        token = m[0]
-        if token.isalpha() or not any(c.isdigit() for c in token) or not any(c.isalpha() for c in token):
+        # Pattern spans begin in order, and the furthest end of those that begin before the token's is known.
+        if (n := bisect_left(starts, b)) and ends[n - 1] > a:
             continue
-        if any(x < b and a < y for _, x, y in base):
+        if not any(c.isalpha() for c in m[0]) or not (found := model.best_stretch(m[0])):
             continue
-        score = model.ratio(token)
-        if score >= LLR_LEAST and score >= LLR_PER_CHAR * len(token):
-            spans.append({"kind": "markov", "start": a, "end": b, "score": score})
+        spans.append({"kind": "markov", "start": a + found[0], "end": a + found[1], "score": found[2]})
     if len(spans) > len(base):
         spans.sort(key=lambda s: (s["start"], KINDS.index(s["kind"])))
     return spans
@@ -153,10 +173,10 @@ def scan_text(text: str | None, model: MarkovRatio) -> list[dict]:
 
 def secret_spans(text: Column | str, samples: tuple[list[str], list[str]] | None = None) -> Column:
     """The spans of a text column, as ``SPANS``. samples: (random strings, ordinary identifiers) to train from."""
+    model = MarkovRatio(*samples) if samples else default_model()
 
     @F.arrow_udf(SPANS)
     def scan(texts: pa.Array) -> pa.Array:
-        model = MarkovRatio(*samples) if samples else default_model()
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
         return pa.array([scan_text(t.as_py(), model) for t in texts], kind)
 
@@ -188,10 +208,10 @@ def redact_text(text: str | None, model: MarkovRatio, mask: str = "[SECRET]") ->
 def redact_secrets(df: DataFrame, text: str = "text", mask: str = "[SECRET]") -> DataFrame:
     """``df`` with each secret of its text replaced by ``mask``; other rows and columns stay as they are."""
     small_batches(df.sparkSession)
+    model = default_model()
 
     @F.arrow_udf("string")
     def redact(texts: pa.Array) -> pa.Array:
-        model = default_model()
         return pa.array([redact_text(t.as_py(), model, mask) for t in texts], pa.string())
 
     return df.withColumn(text, redact(F.col(text)))
