@@ -475,8 +475,55 @@ def test_components(spark):
 
 def test_scores_do_not_depend_on_batches(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
-    one = {r["id"]: r["score"] for r in lm_score.lm_scores(docs).collect()}
+    one = {r["id"]: (r["score"], r["score_others"]) for r in lm_score.lm_scores(docs).collect()}
     monkeypatch.setattr(lm_score, "BATCH_CHARS", 40_000)
-    monkeypatch.setattr(lm_score, "PART_CHARS", 25_000)
-    many = {r["id"]: r["score"] for r in lm_score.lm_scores(docs).collect()}
-    assert one.keys() == many.keys() and all(abs(one[i] - many[i]) < 1e-6 for i in one)
+    monkeypatch.setattr(lm_score, "PART_CHARS", 500)
+    many = {r["id"]: (r["score"], r["score_others"]) for r in lm_score.lm_scores(docs).collect()}
+    assert one.keys() == many.keys() and all(np.allclose(one[i], many[i], rtol=0, atol=1e-6) for i in one)
+
+
+def backoff(words, seen, n):
+    """The score of a list of words by the formula, word by word."""
+    total = 0.0
+    for i in range(len(words)):
+        factor = 1.0
+        for k in range(min(i, 2), -1, -1):
+            if k and (c := seen[tuple(words[i - k : i + 1])]) > 0:
+                share = c / max(seen[tuple(words[i - k : i])], 1)
+                break
+            share = max(seen[(words[i],)], 1) / max(n, 1)
+            factor *= 0.4 if k else 1.0
+        total += np.log(factor * share)
+    return total
+
+
+def test_scores_against_the_formula(spark, monkeypatch):
+    from collections import Counter
+
+    monkeypatch.setattr(lm_score, "BATCH_CHARS", 300)
+    monkeypatch.setattr(lm_score, "PART_CHARS", 200)
+    rng = random.Random(2)
+    rows = [(rng.randrange(25), " ".join(f"w{min(rng.randrange(30), rng.randrange(30))}" for _ in range(rng.randint(1, 25)))) for _ in range(60)]
+    rows += [rows[0], rows[0], (None, rows[1][1]), (None, rows[1][1]), (7, None), (7, ""), (8, "?!")]
+    got = sorted((r["id"] is None, r["id"] or 0, r["n_words"], round(r["score"], 6), round(r["score_others"], 6)) for r in lm_score.lm_scores(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    count = lambda words: Counter(tuple(words[i : i + k]) for k in (1, 2, 3) for i in range(len(words) - k + 1))
+    split = [re.findall(r"\w+", (t or "").lower()) for _, t in rows]
+    seen, n = sum((count(w) for w in split), Counter()), sum(map(len, split))
+    want = []
+    for (i, _), words in zip(rows, split, strict=True):
+        others = seen.copy()
+        others.subtract(count(words))
+        want.append((i is None, i or 0, len(words), round(backoff(words, seen, n), 6), round(backoff(words, others, n - len(words)), 6)))
+    assert len(got) == len(want) and all(a[:3] == b[:3] and np.allclose(a[3:], b[3:], atol=2e-6) for a, b in zip(got, sorted(want), strict=True))
+
+
+@pytest.mark.parametrize("n", [1, 63, 64, 5000])
+def test_runs_are_unpacked_as_packed(n):
+    values = np.random.default_rng(n).integers(0, 1 << 47, n, np.uint64)
+    for v in (values, values % np.uint64(3), values * np.uint64(0)):
+        assert (lm_score.unpack(lm_score.pack(v), n) == v).all()
+
+
+def test_runs_stay_long_as_texts_grow():
+    batches, parts = lm_score.layout(10**12)
+    assert 10**12 / 6.5 * 3 / (batches * parts) > 90 and lm_score.layout(0) == (1, 1)
