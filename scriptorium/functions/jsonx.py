@@ -40,6 +40,17 @@ def truthy_text(v: Column) -> Column:
     return F.when(empty, F.lit("")).otherwise(plain(v))
 
 
+def truthy_or_plain(v: Column) -> Column:
+    """A value as text, empty where it is missing or null; unlike ``truthy_text``, 0 and false are texts."""
+    return F.when(v.isNull() | (F.schema_of_variant(v) == "VOID"), F.lit("")).otherwise(plain(v))
+
+
+def dump(c: Column, pretty: bool = False) -> Column:
+    """A struct, map, array or VARIANT as JSON: without blanks, or indented; null fields of structs go, letters of any
+    script stay as they are."""
+    return F.to_json(c, {"pretty": "true"} if pretty else {})
+
+
 def object_in_text(c: Column) -> Column:
     """The first JSON object in a reply, as VARIANT: of a tool call, of the whole text without its code fence, or from
     its first to its last brace; null without one."""

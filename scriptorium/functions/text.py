@@ -43,10 +43,13 @@ def normalize_space(c: Column) -> Column:
 
 
 def casefold(c: Column) -> Column:
-    out = F.lower(c)
-    for letter, folded in FOLDS.items():
-        out = F.replace(out, F.lit(letter), F.lit(folded))
-    return out
+    def folded(low: Column) -> Column:
+        out = low
+        for letter, other in FOLDS.items():
+            out = F.replace(out, F.lit(letter), F.lit(other))
+        return F.when(low.rlike(f"[{''.join(FOLDS)}]"), out).otherwise(low)  # few texts have such letters
+
+    return let(F.lower(c), folded)
 
 
 def normalized_literal(c: Column) -> Column:
@@ -56,7 +59,10 @@ def normalized_literal(c: Column) -> Column:
 
 def html_escape(c: Column) -> Column:
     """Escapes & < > of the stripped text (null: empty) and turns newlines into line breaks."""
-    out = strip(F.coalesce(c, F.lit("")))
+    return escape(strip(F.coalesce(c, F.lit(""))))
+
+
+def escape(out: Column) -> Column:
     for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\n", "<br/>")):
         out = F.replace(out, F.lit(a), F.lit(b))
     return out
@@ -166,13 +172,18 @@ def inspected(text: Column, cut: Column, truncated: Column, loop: Column) -> Col
 
 def quality_score(text: Column, flags: Column) -> Column:
     """The worth of a recognised line; -100 where it is empty or unreadable."""
-    t = normalize_space(text)
-    cyrillic = cyrillic_count(t)
-    worth = F.least(F.lit(40.0), (cyrillic + digit_count(t)) * F.lit(0.7) + F.length(t) * F.lit(0.08))
-    worth = worth + F.when(cyrillic > 0, 8.0).otherwise(0.0) - F.when(mostly_latin(t), 18.0).otherwise(0.0)
     cost = F.create_map(*(F.lit(x) for pair in PENALTIES.items() for x in pair))
     lost = F.aggregate(F.coalesce(flags, F.array().cast("array<string>")), F.lit(0.0), lambda a, f: a + F.coalesce(F.try_element_at(cost, f), F.lit(0.0)))
-    return F.when((t == "") | (t == UNREADABLE), F.lit(-100.0)).otherwise(worth - lost)
+
+    def worth(t: Column, cyrillic: Column, latin: Column) -> Column:
+        out = F.least(F.lit(40.0), (cyrillic + digit_count(t)) * F.lit(0.7) + F.length(t) * F.lit(0.08))
+        return out + F.when(cyrillic > 0, 8.0).otherwise(0.0) - F.when((latin > cyrillic * 1.5) & (latin >= 5), 18.0).otherwise(0.0)
+
+    def of(t: Column) -> Column:
+        counts = F.struct(cyrillic_count(t).alias("c"), latin_count(t).alias("l"))
+        return F.when((t == "") | (t == UNREADABLE), F.lit(-100.0)).otherwise(let(counts, lambda n: worth(t, n["c"], n["l"])) - lost)
+
+    return let(normalize_space(text), of)
 
 
 def line_type(text: Column, x1: Column, y1: Column, x2: Column, y2: Column, width: Column, height: Column) -> Column:

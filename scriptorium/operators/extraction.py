@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions import text as tx
 
-# What records may name.
+# What records may name, and the messages on those that go.
 PARAMETERS = (
     "Номер скважины",
     "Расположение скважины",
@@ -22,18 +22,25 @@ PARAMETERS = (
 CONFIDENCES = ("high", "medium", "low")
 CONFLICTS = ("ocr_error", "possible_document_inconsistency", "possible_rounding", "technical_stage_difference", "temporal_change", "unresolved")
 EVIDENCE_MOST = 300
+INCOMPLETE, NAMELESS = "Удалена неполная запись ", "без параметра"
+GONE, BAD_CONFIDENCE = "Удалена запись ", " с некорректным confidence."
+NO_EVIDENCE, NO_VALUE = ": evidence не найдена однозначно для файла/страницы ", ": raw_value отсутствует в evidence."
+BAD_CONFLICT = ("Удалён conflicts[", "]: поля или evidence не прошли проверку.")
 
 
 def resolve(claims: DataFrame, pages: DataFrame, key: str = "claim") -> DataFrame:
     """Adds ``resolved``: the file of the one page that holds a claim's evidence, else null.
 
-    claims: (claim, file, page, evidence, ..); pages: (file, page, hay1, hay2). A named file is held to where it has
-    that page; where it hasn't, another is taken only if it is the only one with that page. Claims meet pages by the
-    page's number, so texts are compared within equal keys only."""
-    asked = claims.select(key, F.col("page").alias("_page"), tx.basename(F.col("file")).alias("_file"), tx.normalized_literal(F.col("evidence")).alias("_needle"))
-    met = asked.join(pages.select(F.col("page").alias("_page"), F.col("file").alias("p_file"), "hay1", "hay2"), "_page")
-    same = F.col("p_file") == F.col("_file")
-    hit = (F.col("_needle") != "") & (F.contains("hay1", "_needle") | F.contains("hay2", "_needle"))
+    claims: (claim, doc, file, page, evidence, ..); pages: (doc, file, page, hay1, hay2). Evidence counts only where the
+    claim's own document has it. A named file is held to where it has that page; where it hasn't, another is taken only
+    if it is the only one of the document with that page. Claims meet pages by document and page, so the pairs that are
+    compared are a document's files with that page, however many documents there are."""
+    asked = claims.select(key, F.col("doc").alias("_doc"), F.col("page").alias("_page"), tx.basename(F.col("file")).alias("_file"), tx.normalized_literal(F.col("evidence")).alias("_needle"))
+    met = asked.join(pages.select(F.col("doc").alias("_doc"), F.col("page").alias("_page"), F.col("file").alias("p_file"), "hay1", "hay2"), ["_doc", "_page"])
+    # Texts are searched once for each pair, before the pairs are counted.
+    there = (F.col("_needle") != "") & (F.contains("hay1", "_needle") | F.contains("hay2", "_needle"))
+    met = met.select(key, "_file", "p_file", F.coalesce(F.col("p_file") == F.col("_file"), F.lit(False)).alias("_same"), F.coalesce(there, F.lit(False)).alias("_hit"))
+    same, hit = F.col("_same"), F.col("_hit")
     found = met.groupBy(key).agg(
         F.first("_file").alias("f"), F.count("*").alias("n"), F.count_if(same).alias("n_same"), F.count_if(hit).alias("n_hit"), F.count_if(hit & same).alias("n_both"),
         F.min(F.when(hit, F.col("p_file"))).alias("hit"), F.min(F.when(hit & same, F.col("p_file"))).alias("both"),
@@ -60,10 +67,10 @@ def judge_records(records: DataFrame, pages: DataFrame) -> DataFrame:
     page = F.coalesce("page", F.lit(-1)).cast("string")
     warning = (
         F.when(~F.col("parameter").isin(*PARAMETERS) | (F.col("value") == "") | (F.col("raw_value") == ""),
-               F.concat(F.lit("Удалена неполная запись "), at, F.lit(" ("), F.when(F.col("parameter") == "", "без параметра").otherwise(F.col("parameter")), F.lit(").")))
-        .when(~F.col("confidence").isin(*CONFIDENCES), F.concat(F.lit("Удалена запись "), at, F.lit(" с некорректным confidence.")))
-        .when((F.length("evidence") > EVIDENCE_MOST) | F.col("resolved").isNull(), F.concat(F.lit("Удалена запись "), at, F.lit(": evidence не найдена однозначно для файла/страницы "), page, F.lit(".")))
-        .when(~_literal_in("raw_value", "evidence"), F.concat(F.lit("Удалена запись "), at, F.lit(": raw_value отсутствует в evidence.")))
+               F.concat(F.lit(INCOMPLETE), at, F.lit(" ("), F.when(F.col("parameter") == "", NAMELESS).otherwise(F.col("parameter")), F.lit(").")))
+        .when(~F.col("confidence").isin(*CONFIDENCES), F.concat(F.lit(GONE), at, F.lit(BAD_CONFIDENCE)))
+        .when((F.length("evidence") > EVIDENCE_MOST) | F.col("resolved").isNull(), F.concat(F.lit(GONE), at, F.lit(NO_EVIDENCE), page, F.lit(".")))
+        .when(~_literal_in("raw_value", "evidence"), F.concat(F.lit(GONE), at, F.lit(NO_VALUE)))
     )
     return rows.withColumn("warning", warning).drop("claim")
 
@@ -82,7 +89,7 @@ def judge_conflicts(conflicts: DataFrame, pages: DataFrame) -> DataFrame:
         ~F.col("parameter").isin(*PARAMETERS) | ~F.col("conflict_type").isin(*CONFLICTS) | (F.col("raw_value") == "") | (F.col("reason") == "")
         | (F.length("evidence") > EVIDENCE_MOST) | F.col("resolved").isNull() | ~_literal_in("raw_value", "evidence")
     )
-    return rows.withColumn("warning", F.when(bad, F.concat(F.lit("Удалён conflicts["), "idx", F.lit("]: поля или evidence не прошли проверку.")))).drop("claim")
+    return rows.withColumn("warning", F.when(bad, F.concat(F.lit(BAD_CONFLICT[0]), "idx", F.lit(BAD_CONFLICT[1])))).drop("claim")
 
 
 def missing(docs: DataFrame, kept: DataFrame) -> DataFrame:

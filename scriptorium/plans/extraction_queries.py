@@ -1,6 +1,7 @@
 """Queries on extraction results and their reports.
 
-Each document makes one claim about itself; claims of two hundred documents make one extraction."""
+Two hundred texts make one document of up to ten pages, whose numbers begin anew in each, and each text makes one claim.
+Some claims are made of the document after theirs, whose pages of that number do not hold their evidence."""
 
 from __future__ import annotations
 
@@ -13,10 +14,10 @@ from scriptorium.plans import fixtures as fx
 
 _NAMES = ", ".join(f"'{p}'" for p in (*ex.PARAMETERS, "Глубина"))
 _KINDS = ", ".join(f"'{p}'" for p in (*ex.CONFLICTS, "other"))
-_RULE = """doc_id, doc_id {div} 200 AS doc, CAST(doc_id % 200 + 1 AS INTEGER) AS idx,
+_RULE = """doc_id, doc_id {div} 200 + CASE WHEN doc_id % 23 = 0 THEN 1 ELSE 0 END AS doc, CAST(doc_id % 200 + 1 + CASE WHEN doc_id % 23 = 0 THEN 1000 ELSE 0 END AS INTEGER) AS idx,
   CASE WHEN doc_id % 19 = 0 THEN '' ELSE {name} END AS parameter, CASE WHEN doc_id % 13 = 0 THEN ' ' ELSE concat('v', doc_id % 4, ' & ', doc_id) END AS value,
   CASE WHEN doc_id % 6 = 5 THEN 'absent' WHEN doc_id % 4 = 0 THEN concat('v', doc_id % 4, ' & ', doc_id) ELSE substring(text, 9, 20) END AS raw_value, CASE doc_id % 5 WHEN 1 THEN '' WHEN 2 THEN 'nofile' ELSE concat('dir/', source) END AS file,
-  CAST(doc_id {div} 20 + CASE WHEN doc_id % 7 = 3 THEN 1 ELSE 0 END AS INTEGER) AS page, substring(text, 5, 110) AS evidence,
+  CAST(doc_id % 200 {div} 20 + 1 + CASE WHEN doc_id % 7 = 3 THEN 1 ELSE 0 END AS INTEGER) AS page, substring(text, 5, 110) AS evidence,
   CASE doc_id % 8 WHEN 0 THEN 'sure' WHEN 1 THEN ' HIGH' WHEN 2 THEN 'medium' WHEN 3 THEN 'low' ELSE 'high' END AS confidence, CASE WHEN doc_id % 3 = 0 THEN concat('<note> ', doc_id) ELSE '' END AS notes,
   {kind} AS conflict_type, CASE WHEN doc_id % 17 = 0 THEN '' ELSE 'seen twice' END AS reason"""
 
@@ -27,8 +28,8 @@ def claims(spark, d):
 
 
 def pages(spark, d):
-    rows = fx.table(spark, d, "documents").selectExpr("source AS file", "CAST(doc_id div 20 AS INT) AS page", "doc_id AS ord", "text AS content")
-    return doc.search_texts(rows, ["file", "page"])
+    rows = fx.table(spark, d, "documents").selectExpr("doc_id div 200 AS doc", "source AS file", "CAST(doc_id % 200 div 20 + 1 AS INT) AS page", "doc_id AS ord", "text AS content")
+    return doc.search_texts(rows, ["doc", "file", "page"])
 
 
 def judged(spark, d):
@@ -71,18 +72,18 @@ def numbered(spark, d):
 SQL_NORM = "replace(lower(trim(regexp_replace({0}, '\\s+', ' ', 'g'))), 'ß', 'ss')"
 _DUCK = _RULE.format(div="//", name=f"[{_NAMES}][doc_id % 10 + 1]", kind=f"[{_KINDS}][doc_id % 7 + 1]")
 SQL_CLAIMS = f"""claims AS (SELECT {_DUCK} FROM documents),
-pages AS (SELECT file, page, {SQL_NORM.format("t")} AS hay1, {SQL_NORM.format("replace(t, ' | ', ' ')")} AS hay2 FROM (SELECT source AS file, CAST(doc_id // 20 AS INTEGER) AS page, string_agg(trim(text, ' ' || chr(10)), chr(10) ORDER BY doc_id) AS t FROM documents GROUP BY ALL)),
-met AS (SELECT c.doc_id, list_last(string_split(c.file, '/')) AS f, p.file AS pf, {SQL_NORM.format("evidence")} <> '' AND (contains(hay1, {SQL_NORM.format("evidence")}) OR contains(hay2, {SQL_NORM.format("evidence")})) AS hit FROM claims c JOIN pages p USING (page)),
+pages AS (SELECT doc, file, page, {SQL_NORM.format("t")} AS hay1, {SQL_NORM.format("replace(t, ' | ', ' ')")} AS hay2 FROM (SELECT doc_id // 200 AS doc, source AS file, CAST(doc_id % 200 // 20 + 1 AS INTEGER) AS page, string_agg(trim(text, ' ' || chr(10)), chr(10) ORDER BY doc_id) AS t FROM documents GROUP BY ALL)),
+met AS (SELECT c.doc_id, list_last(string_split(c.file, '/')) AS f, p.file AS pf, {SQL_NORM.format("evidence")} <> '' AND (contains(hay1, {SQL_NORM.format("evidence")}) OR contains(hay2, {SQL_NORM.format("evidence")})) AS hit FROM claims c JOIN pages p USING (doc, page)),
 res AS (SELECT doc_id, CASE WHEN f = '' THEN CASE WHEN count(*) FILTER (hit) = 1 THEN min(pf) FILTER (hit) END WHEN count(*) FILTER (pf = f) > 0 THEN CASE WHEN count(*) FILTER (hit AND pf = f) = 1 THEN f END
   WHEN count(*) = 1 THEN min(pf) FILTER (hit) END AS resolved FROM met GROUP BY doc_id, f),
 cl AS (SELECT c.doc_id, doc, idx, trim(parameter) AS parameter, trim(value) AS value, trim(raw_value, ' ' || chr(10)) AS raw_value, file, page, trim(evidence, ' ' || chr(10)) AS evidence, lower(trim(confidence)) AS confidence, trim(notes) AS notes, conflict_type, reason, resolved FROM claims c LEFT JOIN res USING (doc_id)),
-jr AS (SELECT *, CASE WHEN parameter NOT IN ({", ".join(f"'{p}'" for p in ex.PARAMETERS)}) OR value = '' OR raw_value = '' THEN 'Удалена неполная запись records[' || idx || '] (' || CASE WHEN parameter = '' THEN 'без параметра' ELSE parameter END || ').'
-  WHEN confidence NOT IN ('high', 'medium', 'low') THEN 'Удалена запись records[' || idx || '] с некорректным confidence.'
-  WHEN length(evidence) > 300 OR resolved IS NULL THEN 'Удалена запись records[' || idx || ']: evidence не найдена однозначно для файла/страницы ' || page || '.'
-  WHEN NOT contains({SQL_NORM.format("evidence")}, {SQL_NORM.format("raw_value")}) THEN 'Удалена запись records[' || idx || ']: raw_value отсутствует в evidence.' END AS warning FROM cl),
+jr AS (SELECT *, CASE WHEN parameter NOT IN ({", ".join(f"'{p}'" for p in ex.PARAMETERS)}) OR value = '' OR raw_value = '' THEN '{ex.INCOMPLETE}records[' || idx || '] (' || CASE WHEN parameter = '' THEN '{ex.NAMELESS}' ELSE parameter END || ').'
+  WHEN confidence NOT IN ('high', 'medium', 'low') THEN '{ex.GONE}records[' || idx || ']{ex.BAD_CONFIDENCE}'
+  WHEN length(evidence) > 300 OR resolved IS NULL THEN '{ex.GONE}records[' || idx || ']{ex.NO_EVIDENCE}' || page || '.'
+  WHEN NOT contains({SQL_NORM.format("evidence")}, {SQL_NORM.format("raw_value")}) THEN '{ex.GONE}records[' || idx || ']{ex.NO_VALUE}' END AS warning FROM cl),
 rec AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc ORDER BY idx) AS INTEGER) AS row_number FROM jr WHERE warning IS NULL),
 jc AS (SELECT *, CASE WHEN parameter NOT IN ({", ".join(f"'{p}'" for p in ex.PARAMETERS)}) OR conflict_type NOT IN ({", ".join(f"'{p}'" for p in ex.CONFLICTS)}) OR raw_value = '' OR reason = '' OR length(evidence) > 300 OR resolved IS NULL
-  OR NOT contains({SQL_NORM.format("evidence")}, {SQL_NORM.format("raw_value")}) THEN 'Удалён conflicts[' || idx || ']: поля или evidence не прошли проверку.' END AS warning FROM cl),
+  OR NOT contains({SQL_NORM.format("evidence")}, {SQL_NORM.format("raw_value")}) THEN '{ex.BAD_CONFLICT[0]}' || idx || '{ex.BAD_CONFLICT[1]}' END AS warning FROM cl),
 docs AS (SELECT DISTINCT doc, 'doc' || doc AS name FROM claims),
 mis AS (SELECT doc, n, parameter FROM docs, (SELECT unnest([{", ".join(f"'{p}'" for p in ex.PARAMETERS)}]) AS parameter, CAST(unnest(range(1, 10)) AS INTEGER) AS n) WHERE NOT EXISTS (SELECT 1 FROM rec WHERE rec.doc = docs.doc AND rec.parameter = parameter.parameter))"""
 SQL_CLAIMS = SQL_CLAIMS.replace("rec.parameter = parameter.parameter", "rec.parameter = p.parameter").replace("AS n) WHERE NOT EXISTS", "AS n) p WHERE NOT EXISTS")

@@ -154,8 +154,10 @@ QUERIES = {
         SELECT event_id, CASE WHEN a > 0 THEN a WHEN b > 0 THEN b ELSE 1 END AS page_number FROM c""",
     ),
     "ordered_distinct_flags": (
-        lambda s, d: fx.table(s, d, "conversations").select("conv_id", "turn", F.array_join(F.array_distinct(F.concat(F.array(F.lit("reviewed")), F.slice(F.split(F.lower("text"), " "), 1, 40))), ",").alias("flags")),
-        """SELECT conv_id, turn, array_to_string(list_filter(ws, lambda w, k: list_position(ws, w) = k), ',') AS flags
-        FROM (SELECT conv_id, turn, list_concat(['reviewed'], string_split(lower(text), ' ')[1:40]) AS ws FROM conversations)""",
+        lambda s, d: fx.table(s, d, "conversations").select("conv_id", "turn", F.array_join(F.array_distinct(F.concat(F.array(F.lit("reviewed")), F.split(F.lower("text"), " "))), ",").alias("flags")),
+        """SELECT conv_id, turn, string_agg(w, ',' ORDER BY k) AS flags FROM (
+          SELECT conv_id, turn, w, min(k) AS k FROM (SELECT conv_id, turn, unnest(ws) AS w, unnest(range(len(ws))) AS k
+            FROM (SELECT conv_id, turn, list_concat(['reviewed'], string_split(lower(text), ' ')) AS ws FROM conversations)) GROUP BY conv_id, turn, w)
+        GROUP BY conv_id, turn""",
     ),
 }

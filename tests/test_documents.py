@@ -33,10 +33,13 @@ def test_replies(spark):
 
 
 def test_evidence_needs_one_page(spark):
-    pages = spark.createDataFrame([("f1", 1, "alpha beta", "alpha beta"), ("f2", 1, "alpha gamma", "alpha gamma"), ("f3", 2, "delta | x", "delta x")], "file string, page int, hay1 string, hay2 string")
+    pages = [("A", "f1", 1, "alpha beta", "alpha beta"), ("A", "f2", 1, "alpha gamma", "alpha gamma"), ("A", "f3", 2, "delta | x", "delta x"), ("B", "f1", 1, "omega", "omega"), ("C", "f9", 1, "beta", "beta")]
+    pages = spark.createDataFrame(pages, "doc string, file string, page int, hay1 string, hay2 string")
     claims = [(0, "", 1, "alpha"), (1, "f1", 1, "Alpha"), (2, "f9", 1, "beta"), (3, "", 1, "gamma"), (4, "f9", 2, "Delta X"), (5, "f1", 3, "alpha"), (6, "f2", 1, "beta"), (7, "", 1, " "), (8, None, 1, "beta")]
-    got = extraction.resolve(spark.createDataFrame(claims, "claim int, file string, page int, evidence string"), pages)
-    assert {r["claim"]: r["resolved"] for r in got.collect()} == {0: None, 1: "f1", 2: None, 3: "f2", 4: "f3", 5: None, 6: None, 7: None, 8: "f1"}
+    # The same evidence is none for another document, whose page of that number lacks it.
+    claims = [(n, "A", *c) for n, *c in claims] + [(20, "B", "f1", 1, "alpha"), (21, "B", "", 1, "omega"), (22, "B", "", 1, "beta"), (23, "D", "", 1, "beta"), (24, None, "", 1, "beta")]
+    got = extraction.resolve(spark.createDataFrame(claims, "claim int, doc string, file string, page int, evidence string"), pages)
+    assert {r["claim"]: r["resolved"] for r in got.collect()} == {20: None, 21: "f1", 22: None, 23: None, 24: None, 0: None, 1: "f1", 2: None, 3: "f2", 4: "f3", 5: None, 6: None, 7: None, 8: "f1"}
 
 
 def test_report_rules(spark):

@@ -50,3 +50,34 @@ def test_import_without_spark():
 
     code = "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"
     assert subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(__spark_entry__.__file__)).returncode == 0
+
+
+def test_rest_works_without_corpus_operators(tmp_path):
+    """A copy without the subpackage, with and without the pipeline beside it, imports and answers a query."""
+    import shutil
+    import subprocess
+    import sys
+
+    top = os.path.dirname(__spark_entry__.__file__)
+    code = """
+import __spark_entry__ as e
+from pyspark.sql import SparkSession
+assert set(e.oracle_sql()) <= set(e.queries()) and not [n for n in e.queries() if n == "pipeline" or n.startswith("op1_")]
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+assert e.queries()["content_sha256"](spark, "/root/testdata/sf0.001").count() == 50
+"""
+    for n, also in enumerate(([], ["corpus_pipeline.py"])):
+        copy = tmp_path / str(n)
+        shutil.copytree(top, copy, ignore=shutil.ignore_patterns("llm", "__pycache__", ".git", *also))
+        env = {**os.environ, "PYTHONPATH": str(copy)}
+        done = subprocess.run([sys.executable, "-c", code], cwd=copy, env=env, capture_output=True, text=True)
+        assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_nothing_outside_imports_the_corpus_operators():
+    top = os.path.join(os.path.dirname(__spark_entry__.__file__), "scriptorium")
+    for folder, _, names in os.walk(top):
+        for name in names:
+            if name.endswith(".py") and os.path.relpath(folder, top).split(os.sep)[0] != "llm":
+                with open(os.path.join(folder, name), encoding="utf-8") as f:
+                    assert "scriptorium.llm" not in f.read(), name
