@@ -125,3 +125,21 @@ def safe_crop(ink: Box, width: Column, height: Column, ratio_x: float = 0.03, ra
     whole = Box(F.lit(0), F.lit(0), width, height)
     pick = Box(*(F.when(bad, x).otherwise(y) for x, y in zip(whole, c, strict=True)))
     return F.struct((~bad).alias("applied"), *pick.named(), F.when(~bad, kept).alias("retained"))
+
+
+def line_crop(b: Box, width: Column, height: Column, pad_y: float, pad_x: float) -> Column:
+    """Struct (x1, y1, x2, y2, kernel): the crop of a line, padded by shares of its height and width and cut at the tile's
+    border, and the odd side of the square by which its mask grows."""
+    w, h = F.greatest(F.lit(1), b.x2 - b.x1), F.greatest(F.lit(1), b.y2 - b.y1)
+    py = F.greatest(F.lit(4), (h * F.lit(pad_y)).cast("int"))
+    px = F.greatest(F.lit(8), F.greatest(h * F.lit(0.55), w * F.lit(pad_x)).cast("int"))
+    side = F.greatest(F.lit(3), F.bround(h * F.lit(0.08)).cast("int"))
+    crop = Box(F.greatest(F.lit(0), b.x1 - px), F.greatest(F.lit(0), b.y1 - py), F.least(width, b.x2 + px), F.least(height, b.y2 + py))
+    return F.struct(*crop.named(), F.when(side % 2 == 0, side + 1).otherwise(side).alias("kernel"))
+
+
+def trimmed(ink: Box, width: Column, height: Column) -> Column:
+    """Struct (x1, y1, x2, y2): a line's picture cut to its ink, whose ends are exclusive, with a small border."""
+    px = F.greatest(F.lit(4), ((ink.x2 - ink.x1) * F.lit(0.02)).cast("int"))
+    py = F.greatest(F.lit(3), ((ink.y2 - ink.y1) * F.lit(0.12)).cast("int"))
+    return F.struct(*Box(F.greatest(F.lit(0), ink.x1 - px), F.greatest(F.lit(0), ink.y1 - py), F.least(width, ink.x2 + px), F.least(height, ink.y2 + py)).named())

@@ -22,9 +22,11 @@ PARAMETERS = (
 CONFIDENCES = ("high", "medium", "low")
 CONFLICTS = ("ocr_error", "possible_document_inconsistency", "possible_rounding", "technical_stage_difference", "temporal_change", "unresolved")
 EVIDENCE_MOST = 300
+INVALID = ("Удалена невалидная запись records[", "].")
 INCOMPLETE, NAMELESS = "Удалена неполная запись ", "без параметра"
 GONE, BAD_CONFIDENCE = "Удалена запись ", " с некорректным confidence."
 NO_EVIDENCE, NO_VALUE = ": evidence не найдена однозначно для файла/страницы ", ": raw_value отсутствует в evidence."
+INVALID_CONFLICT = ("Удалён невалидный conflicts[", "].")
 BAD_CONFLICT = ("Удалён conflicts[", "]: поля или evidence не прошли проверку.")
 
 
@@ -60,13 +62,15 @@ def _cleaned(df: DataFrame, *names: str) -> DataFrame:
 
 def judge_records(records: DataFrame, pages: DataFrame) -> DataFrame:
     """Adds ``warning`` to raw records (doc, idx, parameter, value, raw_value, file, page, evidence, confidence, notes):
-    null where a record stands, else why it goes."""
+    null where a record stands, else why it goes. Records may have is_object, false for what is none."""
     rows = _cleaned(records, "parameter", "value", "raw_value", "evidence", "confidence", "notes").withColumn("confidence", F.lower("confidence")).withColumn("claim", F.struct("doc", "idx"))
     rows = resolve(rows, pages)
     at = F.concat(F.lit("records["), "idx", F.lit("]"))
     page = F.coalesce("page", F.lit(-1)).cast("string")
+    broken = ~F.col("is_object") if "is_object" in records.columns else F.lit(False)
     warning = (
-        F.when(~F.col("parameter").isin(*PARAMETERS) | (F.col("value") == "") | (F.col("raw_value") == ""),
+        F.when(broken, F.concat(F.lit(INVALID[0]), "idx", F.lit(INVALID[1])))
+        .when(~F.col("parameter").isin(*PARAMETERS) | (F.col("value") == "") | (F.col("raw_value") == ""),
                F.concat(F.lit(INCOMPLETE), at, F.lit(" ("), F.when(F.col("parameter") == "", NAMELESS).otherwise(F.col("parameter")), F.lit(").")))
         .when(~F.col("confidence").isin(*CONFIDENCES), F.concat(F.lit(GONE), at, F.lit(BAD_CONFIDENCE)))
         .when((F.length("evidence") > EVIDENCE_MOST) | F.col("resolved").isNull(), F.concat(F.lit(GONE), at, F.lit(NO_EVIDENCE), page, F.lit(".")))
@@ -89,7 +93,8 @@ def judge_conflicts(conflicts: DataFrame, pages: DataFrame) -> DataFrame:
         ~F.col("parameter").isin(*PARAMETERS) | ~F.col("conflict_type").isin(*CONFLICTS) | (F.col("raw_value") == "") | (F.col("reason") == "")
         | (F.length("evidence") > EVIDENCE_MOST) | F.col("resolved").isNull() | ~_literal_in("raw_value", "evidence")
     )
-    return rows.withColumn("warning", F.when(bad, F.concat(F.lit(BAD_CONFLICT[0]), "idx", F.lit(BAD_CONFLICT[1])))).drop("claim")
+    broken = ~F.col("is_object") if "is_object" in conflicts.columns else F.lit(False)
+    return rows.withColumn("warning", F.when(broken, F.concat(F.lit(INVALID_CONFLICT[0]), "idx", F.lit(INVALID_CONFLICT[1]))).when(bad, F.concat(F.lit(BAD_CONFLICT[0]), "idx", F.lit(BAD_CONFLICT[1])))).drop("claim")
 
 
 def missing(docs: DataFrame, kept: DataFrame) -> DataFrame:

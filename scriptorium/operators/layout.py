@@ -90,10 +90,11 @@ def merge_tables(tables: DataFrame) -> DataFrame:
     return kept.withColumn("n", F.row_number().over(Window.partitionBy(*PAGE).orderBy("y1", "x1", F.col("conf").desc(), "r")))
 
 
-def reading_order(lines: DataFrame) -> DataFrame:
-    """Adds ``ord``, from 1: rows from the top, lines of a row from the left. As lines come in the order of their
-    centres, a line can only join the latest row, whose centre is the mean of its lines."""
-    row = F.struct(Box.of().cy.alias("cy"), "x1", "i")
+def reading_order(lines: DataFrame, *keep: str) -> DataFrame:
+    """(doc_id, page, i, ord) and the columns ``keep`` of lines; ord counts from 1: rows from the top, lines of a row
+    from the left. As lines come in the order of their centres, a line can only join the latest row, whose centre is the
+    mean of its lines. What is kept goes along, so that no join has to bring it back."""
+    row = F.struct(Box.of().cy.alias("cy"), F.col("x1").alias("_x"), "i", *keep)
     pages = lines.groupBy(*PAGE).agg(F.array_sort(F.collect_list(row)).alias("rows"), F.greatest(F.lit(8.0), F.median(Box.of().height) * F.lit(0.45)).alias("tol"))
     start = F.struct(F.lit(0).alias("row"), F.lit(None).cast("double").alias("sum"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("out"))
 
@@ -105,9 +106,9 @@ def reading_order(lines: DataFrame) -> DataFrame:
         )
 
     placed = pages.select(*PAGE, F.explode(F.arrays_zip("rows", F.aggregate("rows", start, step)["out"].alias("row"))).alias("z"))
-    placed = placed.select(*PAGE, F.col("z.rows.i").alias("i"), F.col("z.rows.x1").alias("_x"), F.col("z.rows.cy").alias("_cy"), F.col("z.row").alias("_row"))
+    placed = placed.select(*PAGE, F.col("z.rows.i").alias("i"), *(F.col(f"z.rows.{c}").alias(c) for c in keep), F.col("z.rows._x").alias("_x"), F.col("z.rows.cy").alias("_cy"), F.col("z.row").alias("_row"))
     n = F.row_number().over(Window.partitionBy(*PAGE).orderBy("_row", "_x", "_cy", "i"))
-    return placed.select(*PAGE, "i", n.alias("ord"))
+    return placed.select(*PAGE, "i", n.alias("ord"), *keep)
 
 
 def covering(lines: DataFrame, boxes: DataFrame, share: float, prefix: str = "b_") -> DataFrame:
@@ -134,13 +135,16 @@ def table_candidates(lines: DataFrame, regions: DataFrame, width: int, height: i
         .withColumn("area_ratio", box.area / F.lit(max(1, width * height)))
         .withColumn("squareness", F.least(box.width, box.height) / F.greatest(box.width, box.height))
         .where(F.col("area_ratio").between(MIN_AREA, MAX_AREA) & (F.col("squareness") >= F.lit(MIN_SQUARE)))
-        .select(*PAGE, "region_id", "x1", "y1", "x2", "y2", "conf", "area_ratio", "squareness", *(c.alias(f"b_{n}") for c, n in zip(crop, ("x1", "y1", "x2", "y2"), strict=True)))
+        .select(*PAGE, "region_id", F.struct("x1", "y1", "x2", "y2", "conf", "area_ratio", "squareness").alias("_shape"), *(c.alias(f"b_{n}") for c, n in zip(crop, ("x1", "y1", "x2", "y2"), strict=True)))
     )
-    hits = covering(lines.select(*PAGE, "i", "x1", "y1", "x2", "y2"), shaped.select(*PAGE, "region_id", "b_x1", "b_y1", "b_x2", "b_y2"), LINE_SHARE)
-    held = hits.groupBy(*PAGE, "region_id").agg(F.array_sort(F.collect_list("i")).alias("lines"))
+    # The region goes along with its lines, so that it is not made twice.
+    hits = covering(lines.select(*PAGE, "i", "x1", "y1", "x2", "y2"), shaped, LINE_SHARE)
+    crop_box = ["b_x1", "b_y1", "b_x2", "b_y2"]
+    held = hits.groupBy(*PAGE, "region_id").agg(F.array_sort(F.collect_list("i")).alias("lines"), F.first("_shape").alias("_shape"), *(F.first(c).alias(c) for c in crop_box))
+    held = held.select(*PAGE, "region_id", "_shape.*", *crop_box, "lines")
     n = F.size("lines")
     score = F.col("squareness") * 2.0 + F.least(F.lit(1.0), F.col("area_ratio") / F.lit(max(MIN_AREA * 3, 1e-6))) + F.least(F.lit(1.0), n / 8) + F.col("conf") * 0.25
-    return shaped.join(held, [*PAGE, "region_id"]).where(n >= MIN_LINES).withColumn("score", score)
+    return held.where(n >= MIN_LINES).withColumn("score", score)
 
 
 def select_candidates(candidates: DataFrame) -> DataFrame:
@@ -166,8 +170,9 @@ def unrouted(lines: DataFrame, candidates: DataFrame) -> DataFrame:
 
 
 def group_blocks(lines: DataFrame, width: int, height: int) -> DataFrame:
-    """Blocks of ordered lines: (doc_id, page, block, type, content, lines, box). A line begins a block where its type or
-    the one before stands alone, the type changes, or the gap, the overlap or the indentation says so."""
+    """Blocks of ordered lines: (doc_id, page, block, type, content, lines, box), and recognizers, the different ones of
+    its lines, where lines have a recognizer. A line begins a block where its type or the one before stands alone, the
+    type changes, or the gap, the overlap or the indentation says so."""
     box = Box.of()
     page = Window.partitionBy(*PAGE)
     typed = lines.withColumn("type", tx.line_type(F.col("text"), *box, F.lit(width), F.lit(height))).withColumn("mh", F.median(F.greatest(F.lit(1), box.height)).over(page))
@@ -185,19 +190,18 @@ def group_blocks(lines: DataFrame, width: int, height: int) -> DataFrame:
     )
     islands = typed.withColumn("block", F.sum(new.cast("int")).over(before.rowsBetween(Window.unboundedPreceding, 0)).cast("int"))
     own = F.array_sort(F.collect_list(F.struct("ord", "i", "text")))
-    blocks = islands.groupBy(*PAGE, "block").agg(F.first("type").alias("type"), own.alias("own"), F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2"))
-    return blocks.select(*PAGE, "block", "type", F.array_join("own.text", "\n").alias("content"), F.col("own.i").alias("lines"), "x1", "y1", "x2", "y2")
+    by = [F.array_sort(F.collect_set("recognizer")).alias("recognizers")] if "recognizer" in lines.columns else []
+    blocks = islands.groupBy(*PAGE, "block").agg(F.first("type").alias("type"), own.alias("own"), F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2"), *by)
+    return blocks.select(*PAGE, "block", "type", F.array_join("own.text", "\n").alias("content"), F.col("own.i").alias("lines"), "x1", "y1", "x2", "y2", *(["recognizers"] if by else []))
 
 
-def merge_blocks(blocks: DataFrame, candidates: DataFrame, lines: DataFrame) -> DataFrame:
+def merge_blocks(blocks: DataFrame, candidates: DataFrame) -> DataFrame:
     """Text blocks with what recognised them, and the blocks of candidates, numbered from the top.
 
-    blocks: (.., block, type, content, lines, box); candidates: (.., candidate, type, content, lines, box);
-    lines: (.., i, recognizer)."""
-    named = blocks.select(*PAGE, "block", F.explode("lines").alias("i")).join(lines.select(*PAGE, "i", "recognizer"), [*PAGE, "i"])
-    by = named.groupBy(*PAGE, "block").agg(F.countDistinct("recognizer").alias("n"), F.min("recognizer").alias("one"))
-    recognizer = F.when(F.col("n") == 1, F.col("one")).when(F.col("n") > 1, "hybrid").otherwise("trocr")
-    first = blocks.join(by, [*PAGE, "block"], "left").select(*PAGE, "type", "content", "lines", "x1", "y1", "x2", "y2", recognizer.alias("recognizer"), F.lit(0).alias("kind"), F.col("block").alias("n"))
+    blocks: (.., block, type, content, lines, box, recognizers); candidates: (.., candidate, type, content, lines, box)."""
+    n = F.size("recognizers")
+    recognizer = F.when(n == 1, F.get("recognizers", F.lit(0))).when(n > 1, "hybrid").otherwise("trocr")
+    first = blocks.select(*PAGE, "type", "content", "lines", "x1", "y1", "x2", "y2", recognizer.alias("recognizer"), F.lit(0).alias("kind"), F.col("block").alias("n"))
     second = candidates.select(*PAGE, "type", "content", "lines", "x1", "y1", "x2", "y2", F.lit("qwen3-vl").alias("recognizer"), F.lit(1).alias("kind"), F.col("candidate").alias("n"), F.col("candidate"))
     both = first.unionByName(second, allowMissingColumns=True)
     n = F.row_number().over(Window.partitionBy(*PAGE).orderBy("y1", "x1", "kind", "n"))

@@ -1,30 +1,52 @@
-"""Calls of external models as an operator: one contract for detection, recognition, localisation and extraction.
+"""Calls of external models as operators: one contract for the call, and the rules on what each model's reply may be.
 
 A client is made once in each worker process by a factory that the caller gives; rows are sent in batches; a row that
-fails after its retries keeps its error, and never stops the job.
+fails after its retries keeps its error, and never stops the job. A reply that breaks its rule counts as a failure and
+is asked for again. The rule looks at the form of a reply only, in the worker, where the retry happens; what the reply
+says is read from it afterwards by the column builders for JSON.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import time
 from collections.abc import Callable, Iterator
-from typing import Protocol
+from typing import Any, Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from scriptorium.functions import geometry as geo
+from scriptorium.functions import jsonx as js
+from scriptorium.functions import text as tx
+from scriptorium.functions.geometry import Box
+from scriptorium.operators import documents, layout, quality
 
 
 class Client(Protocol):
-    def __call__(self, payloads: list[str]) -> list[str]: ...
+    def __call__(self, payloads: list[Any]) -> list[str]: ...
+
 
+# The types that a block may have.
+BLOCK_TYPES = (
+    "header", "footer", "page_number", "title", "subtitle", "author", "affiliation", "date", "text", "abstract", "keywords", "section_title", "list_item", "formula", "table", "caption", "footnote",
+    "handwritten_note", "stamp", "signature", "unknown",
+)
 
+Rule = Callable[[str], None]
 REPLY = "reply string, attempts int, error string"
 _clients: dict[str, Client] = {}
 
 
-def with_retries(call: Callable[[], str], retries: int, delay: float) -> tuple[str | None, int, str | None]:
-    """(reply, attempts, error) after at most ``retries`` + 1 attempts."""
+class BadReplyError(ValueError):
+    """A reply that a rule refuses."""
+
+
+def with_retries(call: Callable[[], str], retries: int, delay: float, spent: int = 0) -> tuple[str | None, int, str | None]:
+    """(reply, attempts, error) after at most ``retries`` + 1 attempts, of which ``spent`` were made before."""
     error = None
-    for attempt in range(1, retries + 2):
+    for attempt in range(spent + 1, retries + 2):
         try:
             return call(), attempt, None
         except Exception as e:  # any fault of a model is an answer of this operator
@@ -34,20 +56,258 @@ def with_retries(call: Callable[[], str], retries: int, delay: float) -> tuple[s
     return None, retries + 1, error
 
 
-def call_model(df: DataFrame, name: str, factory: Callable[[], Client], payload: str = "payload", batch: int = 4, retries: int = 2, delay: float = 1.0) -> DataFrame:
-    """Adds reply, attempts and error to the rows of ``df``. A batch that fails is tried again row by row."""
+def call_model(df: DataFrame, name: str, factory: Callable[[], Client], payload: str = "payload", batch: int = 4, retries: int = 2, delay: float = 1.0, rule: Rule | None = None) -> DataFrame:
+    """Adds reply, attempts and error to the rows of ``df``. The payload may have any type: text, bytes, a struct of
+    both. A null payload is not sent and has an error. A batch that fails is tried again row by row, and so is a row of
+    a batch whose reply breaks the rule; no row is asked for more than ``retries`` + 1 times by itself."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", " + REPLY
 
-    def run(frames: Iterator) -> Iterator:
+    def checked(reply: str) -> str:
+        if not isinstance(reply, str):
+            raise BadReplyError(f"a reply of type {type(reply).__name__}")
+        if rule is not None:
+            rule(reply)
+        return reply
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
         client = _clients.get(name) or _clients.setdefault(name, factory())
-        for frame in frames:
-            replies: list[tuple[str | None, int, str | None]] = []
-            for at in range(0, len(frame), batch):
-                part = frame[payload].iloc[at : at + batch].tolist()
+        for part in (x.slice(at, batch) for x in batches for at in range(0, x.num_rows, batch)):
+            asked = part[payload].to_pylist()
+            sent = [i for i, p in enumerate(asked) if p is not None]
+            out: list[tuple[str | None, int, str | None]] = [(None, 0, "ValueError: nothing to send")] * len(asked)
+            try:
+                replies = client([asked[i] for i in sent]) if sent else []
+                if len(replies) != len(sent):
+                    raise BadReplyError(f"{len(replies)} replies to {len(sent)} rows")
+                first, spent = dict(zip(sent, replies, strict=True)), 1
+            except Exception:  # it is not known whose fault it was
+                first, spent = {}, 0
+            for i in sent:
                 try:
-                    replies += [(r, 1, None) for r in client(part)]
-                except Exception:
-                    replies += [with_retries(lambda p=p: client([p])[0], retries, delay) for p in part]
-            yield frame.assign(reply=[r[0] for r in replies], attempts=[r[1] for r in replies], error=[r[2] for r in replies])
+                    out[i] = checked(first[i]), 1, None
+                except Exception as e:
+                    known = isinstance(e, BadReplyError)
+                    out[i] = with_retries(lambda p=asked[i]: checked(client([p])[0]), retries, delay, spent if known else 0)
+                    if known and retries == 0:
+                        out[i] = None, 1, f"{type(e).__name__}: {e}"
+            columns = list(zip(*out, strict=True)) or [[], [], []]
+            arrays = [*part.columns, pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, [*part.schema.names, "reply", "attempts", "error"])
+
+    return df.mapInArrow(run, schema)
+
+
+def object_in(reply: str) -> dict:
+    """The JSON object of a reply: of a tool call's text, of the whole without its code fence, or from its first to its
+    last brace. The same rule as ``jsonx.object_in_text``, for use within a retry."""
+    bare = re.sub(r"\s*```\Z", "", re.sub(r"\A(?i:```(?:json)?)\s*", "", reply.strip()))
+    call = re.search(r"<tool_call>\s*(\{.*?\})\s*</tool_call>", bare, re.DOTALL)
+    for text in (call[1] if call else "", bare, bare[bare.find("{") : bare.rfind("}") + 1] if "{" in bare else ""):
+        try:
+            found = json.loads(text)
+        except ValueError:
+            continue
+        if isinstance(found, dict):
+            return found
+    raise BadReplyError("no JSON object")
+
+
+def tool_data(reply: str, tool: str) -> dict:
+    """The data of a tool call; the same rule as ``jsonx.unwrap``."""
+    found = object_in(reply)
+    if found.get("name") == tool and isinstance(found.get("arguments"), dict):
+        found = found["arguments"]
+    given = found.get("arguments")
+    if isinstance(given, str):
+        try:
+            found = object_in(given)
+        except BadReplyError:
+            pass
+    elif isinstance(given, dict):
+        found = given
+    data = found.get("data", found)
+    if not isinstance(data, dict):
+        raise BadReplyError(f"no data of {tool}")
+    return data
+
+
+def tables_listed(reply: str) -> None:
+    """A localisation lists tables, if none; no list is no answer."""
+    if not isinstance(tool_data(reply, "locate_tables").get("tables", []), list):
+        raise BadReplyError("tables: list expected")
+
+
+def region_filled(reply: str) -> None:
+    """A recognised region has a content or rows."""
+    data = tool_data(reply, "save_region_ocr")
+    content, rows = data.get("content"), data.get("rows")
+    text = "\n".join(map(str, content)) if isinstance(content, list) else "" if "content" not in data else str(content)
+    cells = [str(c) for r in rows for c in (r if isinstance(r, list) else [r])] if isinstance(rows, list) else []
+    if not text.strip() and not any(c.strip() for c in cells):
+        raise BadReplyError("an empty region")
+
+
+def line_read(reply: str) -> None:
+    tool_data(reply, "save_line_ocr")
+
+
+def lists_given(reply: str) -> None:
+    """An extraction has its four lists; one that has not is asked for again."""
+    found = object_in(reply)
+    for field in ("records", "conflicts", "missing_parameters", "warnings"):
+        if not isinstance(found.get(field), list):
+            raise BadReplyError(f"{field}: list expected")
+
+
+def blocks_listed(reply: str) -> None:
+    """A grouping lists blocks, if none."""
+    if not isinstance(tool_data(reply, "save_ocr_structure").get("blocks", []), list):
+        raise BadReplyError("blocks: list expected")
+
+
+def recognize_lines(lines: DataFrame, name: str, factory: Callable[[], Client], crop: str = "crop", **calls) -> DataFrame:
+    """Lines with raw_text, text and quality_flags from a recogniser of line pictures: white space is made single, and the
+    text is inspected. A line without a picture or an answer has null texts and its error."""
+    read = call_model(lines, name, factory, crop, **calls)
+    seen = quality.inspect(read.withColumn("raw_text", tx.normalize_space(F.col("reply"))), "reply")
+    kept = lambda c, n: F.when(F.col("error").isNull(), c).alias(n)
+    return seen.select(*(f"`{c}`" for c in lines.columns), kept(F.col("raw_text"), "raw_text"), kept(F.col("inspected.text"), "text"), kept(F.col("inspected.flags"), "quality_flags"), "error")
+
+
+LOCATED = "array<struct<x1:int,y1:int,x2:int,y2:int,confidence:double>>"
+
+
+def located_tables(reply: Column, width: Column, height: Column) -> Column:
+    """The tables of a localisation's reply, in pixels, as ``LOCATED``; empty where it lists none, null where the reply
+    is null or lists nothing that can be read. Boxes without four numbers or too small go; a confidence is held between
+    0 and 1, and is 0.5 where there is none."""
+
+    def table(t: Column) -> Column:
+        corner = lambda n: F.try_variant_get(t, f"$.bbox[{n}]", "double")
+        four = F.when(js.field_kind(t, "$.bbox").startswith("ARRAY"), F.size(js.get(t, "$.bbox", js.VARIANTS))) == 4
+        found = geo.from_thousandths(Box(*map(corner, range(4))), width, height)
+        sure = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_variant_get(t, "$.confidence", "double"), F.lit(0.5))))
+        whole = corner(0).isNotNull() & corner(1).isNotNull() & corner(2).isNotNull() & corner(3).isNotNull()
+        return F.when(four & whole & found.isNotNull(), F.struct(*(found[c].alias(c) for c in ("x1", "y1", "x2", "y2")), sure.alias("confidence")))
+
+    def tables(data: Column) -> Column:
+        listed = F.when(js.field_kind(data, "$.tables").startswith("ARRAY"), js.get(data, "$.tables", js.VARIANTS)).when(js.field_kind(data, "$.tables").isNull() & data.isNotNull(), F.array().cast(js.VARIANTS))
+        return F.array_compact(F.transform(F.filter(listed, js.is_object), table))
+
+    return tx.let(js.unwrap(js.object_in_text(reply), "locate_tables"), tables)
+
+
+def localisation(replies: DataFrame, width: int, height: int) -> DataFrame:
+    """(doc_id, page, status, tables, error) of localisations (doc_id, page, reply, error). status is ok where the reply
+    lists tables, also none; error where there is no answer, so that the detector's regions have to do; off where the
+    model was not asked (no reply and no error)."""
+    rows = replies.withColumn("tables", located_tables(F.col("reply"), F.lit(width), F.lit(height)))
+    status = F.when(F.col("tables").isNotNull(), "ok").when(F.col("reply").isNull() & F.col("error").isNull(), "off").otherwise("error")
+    return rows.select(*layout.PAGE, status.alias("status"), F.coalesce("tables", F.array().cast(LOCATED)).alias("tables"), "error")
+
+
+def locate_tables(pages: DataFrame, name: str, factory: Callable[[], Client], width: int, height: int, image: str = "image", **calls) -> DataFrame:
+    """The tables that a model sees on whole pages (doc_id, page, image), as ``localisation`` gives them."""
+    return localisation(call_model(pages, name, factory, image, rule=tables_listed, **calls), width, height)
+
+
+def grown_tables(located: DataFrame) -> DataFrame:
+    """(doc_id, page, n, box, conf): the tables of localisations, of which overlapping ones grow together."""
+    rows = located.select(*layout.PAGE, F.posexplode("tables").alias("r", "t")).select(*layout.PAGE, "r", "t.x1", "t.y1", "t.x2", "t.y2", F.col("t.confidence").alias("conf"))
+    return layout.merge_tables(rows)
+
+
+def region_prompt(source: Column, id: Column, box: Box) -> Column:
+    """The question on a region's picture: cells only where a model saw a table, else also what it is."""
+    where = F.concat(id, F.lit(", bbox=["), F.concat_ws(", ", *(c.cast("string") for c in box)), F.lit("]. "))
+    return F.when(source == "qwen_full_page", F.concat(F.lit("Таблица "), where, F.lit("Распознай все ячейки."))).otherwise(F.concat(F.lit("Кандидат "), where, F.lit("Определи, table это или text, и распознай всё без потерь.")))
+
+
+def recognize_regions(candidates: DataFrame, name: str, factory: Callable[[], Client], crop: str = "crop", **calls) -> DataFrame:
+    """Candidates (candidate_id, x1 .., localization_source, crop) with result (the recognised region) and error. Those
+    with an error have no result, so that their lines stay with the line recogniser: route only candidates with a result."""
+    asked = candidates.withColumn("_sent", F.when(F.col(crop).isNotNull(), F.struct(region_prompt(F.col("localization_source"), F.col("candidate_id"), Box.of()).alias("prompt"), F.col(crop).alias("image"))))
+    read = call_model(asked, name, factory, "_sent", rule=region_filled, **calls)
+    return read.select(*(f"`{c}`" for c in candidates.columns), documents.region(js.unwrap(js.object_in_text(F.col("reply")), "save_region_ocr")).alias("result"), "error")
+
+
+def reviewed(lines: DataFrame, replies: DataFrame, keys: list[str]) -> DataFrame:
+    """Lines (keys, text, raw_text, quality_flags) after the review of some; replies: (keys, reply, error), one for each
+    line that was asked about. Adds status, trocr, qwen3_vl and review_error; a line keeps its text unless the second
+    reading scores higher, and its flags tell what became of the review. Lines without a reply's row stay as they are."""
+    def spoken(d: Column) -> Column:
+        return F.when(d.isNotNull(), tx.normalize_space(F.when(js.field_kind(d, "$.text").isNull(), F.lit("")).otherwise(js.plain(js.get(d, "$.text", "variant")))))
+
+    # Only what was asked about is read and scored, in steps that are each made once.
+    answer = tx.let(js.unwrap(js.object_in_text(F.col("reply")), "save_line_ocr"), spoken)
+    asked = replies.select(*keys, F.when(F.col("error").isNull(), answer).alias("_raw"), F.col("error").alias("review_error")).join(lines.select(*keys, "text", "raw_text", "quality_flags"), keys)
+    asked = quality.inspect(asked, "_raw").withColumn("_text", F.col("inspected.text")).withColumn("_flags", F.col("inspected.flags"))
+    asked = asked.withColumn("_s1", tx.quality_score(F.col("text"), F.col("quality_flags"))).withColumn("_s2", F.when(F.col("_raw").isNotNull(), tx.quality_score(F.col("_text"), F.col("_flags"))))
+    asked = asked.withColumn("status", F.when(F.col("_raw").isNull(), "failed").when(F.col("_s2") > F.col("_s1"), "accepted").otherwise("rejected"))
+    chosen = quality.review(F.col("_s1"), F.col("_s2"), F.col("quality_flags"), F.col("_flags"))["flags"]
+    reading = lambda raw, text, flags, score: F.struct(F.col(raw).alias("raw_text"), F.col(text).alias("text"), F.col(flags).alias("quality_flags"), F.col(score).alias("quality_score"))
+    asked = asked.select(
+        *keys, "status", F.when(F.col("status") == "accepted", F.col("_text")).otherwise(F.col("text")).alias("_new_text"),
+        F.when(F.col("status") == "failed", F.array_append("quality_flags", F.lit("qwen_review_failed"))).otherwise(chosen).alias("_new_flags"),
+        reading("raw_text", "text", "quality_flags", "_s1").alias("trocr"), F.when(F.col("_raw").isNotNull(), reading("_raw", "_text", "_flags", "_s2")).alias("qwen3_vl"),
+        F.when((F.col("status") == "failed") & F.col("review_error").isNull(), F.lit("no data")).otherwise(F.col("review_error")).alias("review_error"),
+    )
+    rest = [f"`{c}`" for c in lines.columns if c not in ("text", "quality_flags")]
+    rows = lines.join(asked, keys, "left")
+    return rows.select(*rest, F.coalesce("_new_text", "text").alias("text"), F.coalesce("_new_flags", "quality_flags").alias("quality_flags"), "status", "trocr", "qwen3_vl", "review_error")
+
+
+def review_lines(lines: DataFrame, keys: list[str], name: str, factory: Callable[[], Client], most: int = 24, crop: str = "crop", **calls) -> DataFrame:
+    """Suspicious lines, the first ``most`` of a page in line order (doc_id, page, i), read once more from their pictures;
+    see ``reviewed``. The limit is the operator's: it bounds the calls that a page may cost."""
+    first = Window.partitionBy(*layout.PAGE).orderBy("i")
+    chosen = lines.where(quality.suspicious(F.col("quality_flags"))).withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= most)
+    replies = call_model(chosen.select(*keys, crop), name, factory, crop, rule=line_read, **calls)
+    return reviewed(lines, replies, keys)
+
+
+def extraction_prompt(user: str, document: str) -> Column:
+    """The question on a document: the task, and the cleaned document as JSON without blanks between its marks."""
+    return F.concat(F.lit(f"{user}\n\n<OCR_JSON>\n"), F.col(document), F.lit("\n</OCR_JSON>"))
+
+
+def extract_parameters(docs: DataFrame, system: str, user: str, name: str, factory: Callable[[], Client], document: str = "document", **calls) -> DataFrame:
+    """Documents (doc, document as JSON) with found, the reply's object as VARIANT, and error. Records are judged afterwards, against
+    the document's own pages; a reply without the four lists is asked for again, and a document whose replies all lack
+    them has an error and no result."""
+    asked = docs.withColumn("_sent", F.struct(F.lit(system).alias("system"), extraction_prompt(user, document).alias("user")))
+    read = call_model(asked, name, factory, "_sent", batch=1, rule=lists_given, **calls)
+    return read.select(*(f"`{c}`" for c in docs.columns), F.when(F.col("error").isNull(), js.object_in_text(F.col("reply"))).alias("found"), "error")
+
+
+RECORD = ("parameter", "value", "raw_value", "file", "evidence", "confidence", "notes")
+CONFLICT = ("parameter", "conflict_type", "raw_value", "file", "evidence", "reason")
+
+
+def raw_items(extracted: DataFrame, field: str, names: tuple[str, ...]) -> DataFrame:
+    """(doc, idx, names.., page) of a list of extractions (doc, found), as the judging takes them: ``raw_items(x,
+    "records", RECORD)``. idx is the place in the reply's list from 1; what is no object has a row of empty fields and a
+    false is_object."""
+    listed = F.when(js.field_kind(F.col("found"), f"$.{field}").startswith("ARRAY"), js.get(F.col("found"), f"$.{field}", js.VARIANTS))
+    rows = extracted.select("doc", F.posexplode(listed).alias("at", "v"))
+    text = [js.truthy_or_plain(js.get(F.col("v"), f"$.{n}", "variant")).alias(n) for n in names]
+    return rows.select("doc", (F.col("at") + 1).alias("idx"), *text, F.try_variant_get("v", "$.page", "int").alias("page"), js.is_object(F.col("v")).alias("is_object"))
+
+
+def proposed_blocks(replies: DataFrame) -> DataFrame:
+    """(doc_id, page, b, type, lines) of groupings (doc_id, page, reply, error), as ``layout.regroup`` takes them. A model
+    may only group: what it says on texts is not read, lines it leaves out come back there, and a page without an answer
+    has no rows, so that the rules group it."""
+    data = js.unwrap(js.object_in_text(F.col("reply")), "save_ocr_structure")
+    blocks = F.when(js.field_kind(data, "$.blocks").startswith("ARRAY"), js.get(data, "$.blocks", js.VARIANTS))
+    rows = replies.where(F.col("error").isNull()).select(*layout.PAGE, F.posexplode(F.filter(blocks, js.is_object)).alias("b", "v"))
+    ids = F.when(js.field_kind(F.col("v"), "$.line_ids").startswith("ARRAY"), js.get(F.col("v"), "$.line_ids", js.VARIANTS))
+    kind = F.coalesce(js.get(F.col("v"), "$.type", "string"), F.lit("unknown"))
+    return rows.select(*layout.PAGE, "b", F.when(kind.isin(*BLOCK_TYPES), kind).otherwise("unknown").alias("type"), F.transform(ids, js.plain).alias("lines")).where("lines IS NOT NULL")
+
 
-    return df.mapInPandas(run, schema)
+def group_lines(pages: DataFrame, name: str, factory: Callable[[], Client], payload: str = "payload", **calls) -> DataFrame:
+    """The blocks that a model proposes for pages (doc_id, page, payload)."""
+    return proposed_blocks(call_model(pages, name, factory, payload, rule=blocks_listed, **calls))

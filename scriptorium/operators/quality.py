@@ -25,7 +25,9 @@ def suspicious(flags: Column) -> Column:
 
 
 def review(score: Column, new_score: Column, flags: Column, new_flags: Column) -> Column:
-    """Struct (accepted, flags): a second reading is taken where it scores higher; flags tell where they come from."""
+    """Struct (accepted, flags): a second reading is taken where it scores higher; flags tell where they come from, those
+    for which a line was read again by name."""
     accepted = new_score > score
-    taken = F.concat(F.array(F.lit("reviewed_by_qwen")), new_flags, F.transform(flags, lambda f: F.concat(F.lit("trocr_flag:"), f)))
+    why = F.filter(flags, lambda f: f.isin(*tx.SUSPICIOUS_FLAGS))
+    taken = F.concat(F.array(F.lit("reviewed_by_qwen")), new_flags, F.transform(why, lambda f: F.concat(F.lit("trocr_flag:"), f)))
     return F.struct(accepted.alias("accepted"), F.when(accepted, F.array_distinct(taken)).otherwise(F.array_append(flags, F.lit("qwen_review_rejected"))).alias("flags"))

@@ -142,6 +142,14 @@ QUERIES = {
         lambda s, d: rp.violations(claims(s, d)),
         f"WITH {SQL_CLAIMS} SELECT doc, idx, 'records[' || idx || '] без parameter/value' AS problem FROM cl WHERE parameter = '' OR value = ''",
     ),
+    "report_input_problems": (
+        lambda s, d: fx.table(s, d, "events")
+        .selectExpr("event_id", """CASE event_id % 8 WHEN 0 THEN concat('{"records":[{"parameter":"p","value":', event_id, '}],"conflicts":null}') WHEN 1 THEN '{}' WHEN 2 THEN concat('[', props, ']') WHEN 3 THEN concat('{"records":', props, ',"warnings":5}')
+          WHEN 4 THEN concat('{"records":[', event_id, ',', props, ',{"parameter":" ","value":"x"}]}') WHEN 5 THEN '{"conflicts":"a","missing_parameters":[],"records":[{"parameter":"a","value":false}]}' WHEN 6 THEN 'no json' END AS j""")
+        .select("event_id", F.array_join(rp.input_problems(F.try_parse_json("j")), "; ").alias("problems")),
+        """SELECT event_id, CASE event_id % 8 WHEN 0 THEN '' WHEN 1 THEN '' WHEN 3 THEN 'records: list expected; warnings: list expected'
+          WHEN 4 THEN 'records[1]: object expected; records[2]: parameter and value expected; records[3]: parameter and value expected' WHEN 5 THEN 'conflicts: list expected' ELSE 'object expected' END AS problems FROM events""",
+    ),
     "dominant_file": (lambda s, d: rp.dominant_file(claims(s, d), docs(s, d)), f"WITH {SQL_CLAIMS}, {SQL_DOMINANT} SELECT doc, dominant_file FROM dom"),
     "document_title": (
         lambda s, d: rp.titles(claims(s, d), docs(s, d)),

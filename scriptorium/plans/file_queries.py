@@ -63,8 +63,8 @@ def angles(spark, d):
 
 
 def profiles(spark, d):
-    """The ink of 600 rows for each document: its letters' codes, over and over."""
-    rows = fx.table(spark, d, "documents").where("length(text) > 0").selectExpr("doc_id", "transform(sequence(0, 599), i -> CAST((doc_id * 31 + i * i * 7 + i * 13) % 101 AS DOUBLE) / 100D) AS profile")
+    """The ink of 600 rows for each document, by a rule of its id."""
+    rows = fx.table(spark, d, "documents").selectExpr("doc_id", "transform(sequence(0, 599), i -> CAST((doc_id * 31 + i * i * 7 + i * 13) % 101 AS DOUBLE) / 100D) AS profile")
     return rows.select("doc_id", signal.line_safe_cuts(F.col("profile"), 4).alias("cuts"))
 
 
@@ -81,6 +81,17 @@ def review_stats(spark, d, most: int = 5):
 SQL_WM = """{n}0 AS (SELECT {g} AS g, {v} AS v, sum({w}) AS w FROM {t} GROUP BY 1, 2), {n}1 AS (SELECT *, sum(w) OVER (PARTITION BY g ORDER BY v ROWS UNBOUNDED PRECEDING) AS run, sum(w) OVER (PARTITION BY g) AS total FROM {n}0),
 {n} AS (SELECT g, min(v) AS median FROM {n}1 WHERE run >= total / 2 GROUP BY g)"""
 
+def _cut(n: int, tiles: int = 4, height: int = 600) -> str:
+    """DuckDB: the n-th cut, between borders that follow from the cut before."""
+    core, radius, nominal = max(40, int(height / tiles * 0.55)), max(20, int(height / tiles * 0.25)), round(n * height / tiles)
+    least, most = f"greatest({nominal - radius}, {'c + ' if n > 1 else ''}{core})", min(nominal + radius, height - (tiles - n) * core)
+    before = f"c{n - 1}" if n > 1 else "(SELECT doc_id, '' AS cuts FROM documents)"
+    return f"""r{n} AS (SELECT doc_id, cuts, CAST((doc_id * 31 + y * y * 7 + y * 13) % 101 AS DOUBLE) / 100 AS ink, y FROM (SELECT doc_id, cuts, unnest(range({least}, {most} + 1)) AS y FROM {before})),
+s{n} AS (SELECT doc_id, cuts, y, ink + abs(y - {nominal}) / CAST({radius} AS DOUBLE) * greatest(quantile_cont(ink, 0.75) OVER (PARTITION BY doc_id), CAST(1e-6 AS DOUBLE)) * CAST(0.08 AS DOUBLE) AS score FROM r{n}),
+m{n} AS (SELECT doc_id, cuts, y, row_number() OVER (PARTITION BY doc_id ORDER BY score, y) AS k FROM s{n}),
+c{n} AS (SELECT doc_id, y AS c, cuts || '{',' if n > 1 else ''}' || y AS cuts FROM m{n} WHERE k = 1)"""
+
+
 QUERIES = {
     "sniff_file_type": (
         sniff,
@@ -142,7 +153,7 @@ QUERIES = {
         lambda s, d: signals(s, d).select("l_orderkey", "l_linenumber", F.round(signal.centered_mean(F.col("v"), Window.partitionBy("g").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"), 2), 6).alias("mean")),
         "SELECT l_orderkey, l_linenumber, round(sum(l_discount) OVER (PARTITION BY l_orderkey % 100 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) / 5, 6) AS mean FROM lineitem",
     ),
-    "line_safe_cuts": (lambda s, d: profiles(s, d).select("doc_id", F.array_join(F.col("cuts").cast("array<string>"), ",").alias("cuts")), None),
+    "line_safe_cuts": (lambda s, d: profiles(s, d).select("doc_id", F.array_join(F.col("cuts").cast("array<string>"), ",").alias("cuts")), f"WITH {', '.join(map(_cut, (1, 2, 3)))} SELECT doc_id, cuts FROM c3"),
     "tile_bounds": (
         lambda s, d: fx.table(s, d, "documents").selectExpr("doc_id", "array(CAST(300 + doc_id % 20 AS INT), CAST(650 + doc_id % 31 AS INT), CAST(980 - doc_id % 17 AS INT)) AS cuts").select("doc_id", F.inline(signal.tile_bounds(F.col("cuts"), F.lit(1300)))),
         """WITH a AS (SELECT doc_id, [0, 300 + doc_id % 20, 650 + doc_id % 31, 980 - doc_id % 17, 1300] AS e FROM documents), b AS (SELECT doc_id, e, unnest(range(0, 4)) AS i FROM a)

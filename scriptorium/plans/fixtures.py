@@ -70,9 +70,8 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, page, r, x1, y1, x2, y2, conf): regions around runs of 5 and of 12 lines of the first tile."""
     det = detections(spark, sf_dir).where("tile = 0").withColumn("k", F.expr("i % 40"))
     box = [F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2")]
-    small = det.groupBy("doc_id", "page", F.expr("CAST(k div 5 AS INT)").alias("r")).agg(*box)
-    wide = det.groupBy("doc_id", "page", F.expr("CAST(100 + k div 12 AS INT)").alias("r")).agg(*box)
-    return small.unionByName(wide).withColumn("conf", F.expr("(doc_id * 11 + page * 5 + r * 7) % 100 / 100D"))
+    both = det.select("doc_id", "page", "x1", "y1", "x2", "y2", F.expr("explode(array(CAST(k div 5 AS INT), CAST(100 + k div 12 AS INT))) AS r"))
+    return both.groupBy("doc_id", "page", "r").agg(*box).withColumn("conf", F.expr("(doc_id * 11 + page * 5 + r * 7) % 100 / 100D"))
 
 
 REGIONS = f"""{DETECTIONS},

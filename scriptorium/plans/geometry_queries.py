@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions import geometry as geo
 from scriptorium.functions.geometry import Box
+from scriptorium.operators import models
 from scriptorium.plans import fixtures as fx
 
 W, H = fx.PAGE_WIDTH, fx.PAGE_HEIGHT
@@ -53,6 +54,18 @@ def detection_to_page_coords(spark, d):
     return kept.select("doc_id", "page", "i", (F.col("tile") + 1).alias("tile_id"), "x1", (F.col("y1") + 400).alias("y1"), "x2", (F.col("y2") + 400).alias("y2"))
 
 
+def located(spark, d):
+    """Replies of a model that locates tables: by the event one, one that is too sure, two, none, no JSON, not asked."""
+    rows = fx.table(spark, d, "events").selectExpr(
+        "event_id AS doc_id", "1 AS page", "CAST(NULL AS STRING) AS error",
+        """CASE event_id % 6 WHEN 3 THEN '{"data":{"tables":[]}}' WHEN 4 THEN 'none' WHEN 5 THEN NULL ELSE concat('{"name":"locate_tables","arguments":{"data":{"tables":[{"bbox":[', event_id % 900, ',', event_id % 37 * 20, ',', event_id % 900 + 300, ',', event_id % 37 * 20 + 90, ']',
+          CASE event_id % 6 WHEN 1 THEN ',"confidence":7' ELSE '' END, '},{"bbox":[1,2]},5', CASE event_id % 6 WHEN 2 THEN ',{"bbox":[1000,0,-5,500],"confidence":0.25}' ELSE '' END, ']}}}') END AS reply""",
+    )
+    found = models.localisation(rows, W, H)
+    as_text = F.transform("tables", lambda t: F.concat_ws(",", *(t[c].cast("string") for c in ("x1", "y1", "x2", "y2", "confidence"))))
+    return found.select(F.col("doc_id").alias("event_id"), "status", F.size("tables").alias("n"), F.array_join(as_text, " ").alias("tables"))
+
+
 QUERIES = {
     "bbox_iou_pairs": (
         lambda s, d: pairs(s, d).select("doc_id", "page", "a", "b", F.round(geo.iou(*both()), 6).alias("iou")),
@@ -113,6 +126,26 @@ QUERIES = {
         SELECT doc_id, page, r, applied, CASE WHEN applied THEN x1 ELSE 0 END AS x1, CASE WHEN applied THEN y1 ELSE 0 END AS y1, CASE WHEN applied THEN x2 ELSE {W} END AS x2, CASE WHEN applied THEN y2 ELSE {H} END AS y2,
           CASE WHEN applied THEN round((x2 - x1) * (y2 - y1) / CAST({W * H} AS DOUBLE), 6) END AS retained FROM b""",
     ),
+    "masked_crop_bounds": (
+        lambda s, d: fx.detections(s, d).select("doc_id", "page", "i", "tile", geo.line_crop(Box.of(), F.lit(W), F.lit(H), 0.35, 0.03).alias("c")).select("doc_id", "page", "i", "tile", "c.*"),
+        f"""WITH {fx.DETECTIONS}, a AS (SELECT *, greatest(1, x2 - x1) AS w, greatest(1, y2 - y1) AS h FROM det),
+        b AS (SELECT *, greatest(4, CAST(trunc(h * CAST(0.35 AS DOUBLE)) AS INTEGER)) AS py, greatest(8, CAST(trunc(greatest(h * CAST(0.55 AS DOUBLE), w * CAST(0.03 AS DOUBLE))) AS INTEGER)) AS px, greatest(3, CAST(round_even(h * CAST(0.08 AS DOUBLE), 0) AS INTEGER)) AS k FROM a)
+        SELECT doc_id, page, i, tile, greatest(0, x1 - px) AS x1, greatest(0, y1 - py) AS y1, least({W}, x2 + px) AS x2, least({H}, y2 + py) AS y2, CASE WHEN k % 2 = 0 THEN k + 1 ELSE k END AS kernel FROM b""",
+    ),
+    "trimmed_line_bounds": (
+        lambda s, d: fx.detections(s, d).select("doc_id", "page", "i", "tile", geo.trimmed(Box.of(), F.lit(W), F.lit(H)).alias("c")).select("doc_id", "page", "i", "tile", "c.*"),
+        f"""WITH {fx.DETECTIONS}, a AS (SELECT *, greatest(4, CAST(trunc((x2 - x1) * CAST(0.02 AS DOUBLE)) AS INTEGER)) AS px, greatest(3, CAST(trunc((y2 - y1) * CAST(0.12 AS DOUBLE)) AS INTEGER)) AS py FROM det)
+        SELECT doc_id, page, i, tile, greatest(0, x1 - px) AS x1, greatest(0, y1 - py) AS y1, least({W}, x2 + px) AS x2, least({H}, y2 + py) AS y2 FROM a""",
+    ),
+    "located_tables": (
+        located,
+        f"""WITH a AS (SELECT event_id, event_id % 6 AS kind, event_id % 900 AS x, event_id % 37 * 20 AS y FROM events),
+        t AS (SELECT event_id, 0 AS n, x AS p, y AS q, least(1000, x + 300) AS u, y + 90 AS v, CASE WHEN kind = 1 THEN CAST(1 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END AS c FROM a WHERE kind < 3
+          UNION ALL SELECT event_id, 1, 0, 0, 1000, 500, CAST(0.25 AS DOUBLE) FROM a WHERE kind = 2),
+        b AS (SELECT *, CAST(round_even(p * CAST({W} AS DOUBLE) / 1000, 0) AS INTEGER) AS x1, CAST(round_even(q * CAST({H} AS DOUBLE) / 1000, 0) AS INTEGER) AS y1, CAST(round_even(u * CAST({W} AS DOUBLE) / 1000, 0) AS INTEGER) AS x2, CAST(round_even(v * CAST({H} AS DOUBLE) / 1000, 0) AS INTEGER) AS y2 FROM t),
+        k AS (SELECT event_id, string_agg(x1 || ',' || y1 || ',' || x2 || ',' || y2 || ',' || c, ' ' ORDER BY n) AS tables, count(*) AS n FROM b WHERE x2 - x1 >= 8 AND y2 - y1 >= 8 AND (x2 - x1) * (y2 - y1) / CAST({W * H} AS DOUBLE) >= CAST(0.002 AS DOUBLE) GROUP BY event_id)
+        SELECT event_id, CASE kind WHEN 4 THEN 'error' WHEN 5 THEN 'off' ELSE 'ok' END AS status, CAST(coalesce(n, 0) AS INTEGER) AS n, coalesce(tables, '') AS tables FROM a LEFT JOIN k USING (event_id)""",
+    ),
     "tile_union": (
         lambda s, d: fx.detections(s, d).groupBy("doc_id", "page", "tile").agg(F.count("*").alias("boxes"), F.round(F.sum("conf"), 4).alias("conf_sum")),
         f"WITH {fx.DETECTIONS} SELECT doc_id, page, tile, count(*) AS boxes, round(sum(conf), 4) AS conf_sum FROM det GROUP BY doc_id, page, tile",

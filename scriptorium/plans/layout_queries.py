@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from scriptorium.functions import jsonx as js
 from scriptorium.functions import text as tx
 from scriptorium.functions.geometry import Box
 from scriptorium.operators import layout as lo
+from scriptorium.operators import records
 from scriptorium.plans import fixtures as fx
 from scriptorium.plans.geometry_queries import SQL_EXPAND
 from scriptorium.plans.text_queries import SQL_TYPE
@@ -42,8 +44,7 @@ def successful(spark, d):
 
 
 def ordered(spark, d):
-    rows = lines(spark, d)
-    return rows.join(lo.reading_order(rows), [*PAGE, "i"])
+    return lo.reading_order(recognizers(spark, d), "text", *BOX, "recognizer")
 
 
 def blocks(spark, d):
@@ -60,7 +61,7 @@ def recognizers(spark, d):
 
 def merged(spark, d):
     found = successful(spark, d).select(*PAGE, "candidate", F.lit("table").alias("type"), F.concat(F.lit("table "), "region_id").alias("content"), "lines", *BOX)
-    return lo.merge_blocks(blocks(spark, d), found, recognizers(spark, d))
+    return lo.merge_blocks(blocks(spark, d), found)
 
 
 def proposed(spark, d):
@@ -162,7 +163,20 @@ SQL_MERGED = f"""{SQL_SELECTED}, {SQL_BLOCKS},
  mrg AS (SELECT *, format('b{{:04d}}', row_number() OVER (PARTITION BY doc_id, page ORDER BY y1, x1, kind, k)) AS id FROM mb)"""
 SQL_IDS = "array_to_string(lines, ',') AS lines"
 
+def line_records(spark, d):
+    rows = lines(spark, d).withColumn("id", F.format_string("p%03d_l%04d", "page", "i")).withColumn("type", F.lit("text_line")).withColumn("tiles", F.array(F.lit(2), F.lit(1), F.lit(2)))
+    none = {"polygon": "array<array<int>>", "crop_path": "string", "quality_flags": "array<string>", "raw_text": "string"}
+    rows = rows.withColumns({n: F.lit(None).cast(t) for n, t in none.items()}).withColumn("region_id", F.expr("CASE WHEN i % 3 = 0 THEN concat('r', i) END"))
+    return rows.select(*PAGE, "i", js.dump(records.detection(True)).alias("line"), js.dump(records.detection(False)).alias("region"))
+
+
+SQL_RECORD = """'{"id":"' || format('p{:03d}_l{:04d}', page, i) || '","type":"text_line","bbox":[' || x1 || ',' || y1 || ',' || x2 || ',' || y2 || '],"detector_confidence":' || conf || ',"tile_ids":[1,2]' || CASE WHEN i % 3 = 0 THEN ',"region_id":"r' || i || '"' ELSE '' END"""
+
 QUERIES = {
+    "detection_record_json": (
+        line_records,
+        f"""WITH {fx.DETECTIONS} SELECT doc_id, page, i, {SQL_RECORD} || ',"text":' || CAST(to_json(text) AS VARCHAR) || ',"raw_text":"","quality_flags":[]}}' AS line, {SQL_RECORD} || '}}' AS region FROM det WHERE tile = 0""",
+    ),
     "dedup_lines": (
         lambda s, d: lo.dedup_lines(tiled(s, d)).select(*PAGE, "i", "tile", *BOX, "conf", ids("tiles")),
         f"WITH {SQL_DEDUP_LINES} SELECT doc_id, page, r.i AS i, r.tile AS tile, r.x1 AS x1, r.y1 AS y1, r.x2 AS x2, r.y2 AS y2, r.conf AS conf, array_to_string(r.tiles, ',') AS tiles FROM fl",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scriptorium.functions import text as tx
-from scriptorium.operators import quality
+from scriptorium.operators import models, quality, records
 from scriptorium.plans import fixtures as fx
 
 SQL_NORM = "trim(regexp_replace(text, '\\s+', ' ', 'g'))"
@@ -91,7 +91,35 @@ SQL_TYPE = f"""CASE WHEN trim(text) = '' THEN 'unknown'
   WHEN length(trim(text)) <= 100 AND abs((x1 + x2) / 2 - {fx.PAGE_WIDTH} / 2) <= {fx.PAGE_WIDTH} * CAST(0.16 AS DOUBLE) AND y1 < {fx.PAGE_HEIGHT} * CAST(0.35 AS DOUBLE) THEN 'subtitle'
   ELSE 'text' END"""
 
+SQL_REVIEWED = f"""WITH {SQL_INSPECTED},
+        a AS (SELECT doc_id, i, out AS out1, flags AS flags1, CASE WHEN i % 2 = 0 THEN '1234 ' || text ELSE regexp_replace(text, '^[^ ]+', '') END AS text FROM insp WHERE length(text) > 0),
+        {SQL_INSPECTED.replace(fx.LINES + ",", "").replace("FROM lines", "FROM a").replace("doc_id, i, text,", "doc_id, i, text, out1, flags1,").replace("n0", "b0").replace("n1", "b1").replace("n2", "b2").replace("cut AS", "bcut AS").replace("FROM cut", "FROM bcut").replace("loop0", "bl0").replace("loop1", "bl1").replace("loop AS", "bloop AS").replace("FROM loop", "FROM bloop").replace("insp AS", "binsp AS")},
+        c AS (SELECT *, {SQL_SCORE.format(t="out1", f="flags1")} AS s1, {SQL_SCORE.format(t="out", f="flags")} AS s2 FROM binsp)"""
+
+def line_review_records(spark, d):
+    """The review of suspicious lines by a model whose reading is that of ``review_decision``; for every fifth line it
+    has no answer."""
+    rows = scored(spark, d).where("length(text) > 0")
+    lines = rows.select("doc_id", "i", F.col("out").alias("text"), F.col("text").alias("raw_text"), F.col("flags").alias("quality_flags"))
+    second = F.expr("CASE WHEN i % 2 = 0 THEN concat('1234 ', text) ELSE regexp_replace(text, '^[^ ]+', '') END")
+    reply = F.concat(F.lit('{"name":"save_line_ocr","arguments":{"data":'), F.to_json(F.struct(second.alias("text"))), F.lit("}}"))
+    failed = F.expr("i % 5 = 0")
+    replies = rows.where(quality.suspicious(F.col("flags"))).select("doc_id", "i", F.when(~failed, reply).alias("reply"), F.when(failed, F.lit("TimeoutError")).alias("error"))
+    read = models.reviewed(lines, replies, ["doc_id", "i"])
+    out = records.with_reviews(read.select("doc_id", "i", "text", "quality_flags"), read.where("status IS NOT NULL").select("doc_id", "i", "status", "trocr", "qwen3_vl"), ["doc_id", "i"])
+    score = F.round("alternatives.`qwen3-vl`.quality_score", 6).alias("second_score")
+    return out.select("doc_id", "i", "text", F.array_join("quality_flags", ",").alias("flags"), F.col("qwen_review.status").alias("status"), "primary_recognizer", score)
+
+
 QUERIES = {
+    "line_review_records": (
+        line_review_records,
+        f"""{SQL_REVIEWED},
+        r AS (SELECT *, CASE WHEN len(flags1) = 0 THEN NULL WHEN i % 5 = 0 THEN 'failed' WHEN s2 > s1 THEN 'accepted' ELSE 'rejected' END AS status FROM c)
+        SELECT doc_id, i, CASE WHEN status = 'accepted' THEN out ELSE out1 END AS text,
+          array_to_string(CASE status WHEN 'accepted' THEN list_concat(['reviewed_by_qwen'], list_concat(flags, list_transform(flags1, lambda f: 'trocr_flag:' || f))) WHEN 'rejected' THEN list_append(flags1, 'qwen_review_rejected') WHEN 'failed' THEN list_append(flags1, 'qwen_review_failed') ELSE flags1 END, ',') AS flags,
+          status, CASE WHEN status = 'accepted' THEN 'qwen3-vl-line-review' ELSE 'trocr' END AS primary_recognizer, CASE WHEN status IN ('accepted', 'rejected') THEN round(s2, 6) END AS second_score FROM r""",
+    ),
     "normalize_space": (
         lambda s, d: fx.table(s, d, "documents").select("doc_id", tx.normalize_space(F.col("text")).alias("norm")),
         f"SELECT doc_id, {SQL_NORM} AS norm FROM documents",
@@ -123,10 +151,7 @@ QUERIES = {
     "line_quality_score": (line_quality_score, f"WITH {SQL_INSPECTED} SELECT doc_id, i, round({SQL_SCORE.format(t='out', f='flags')}, 6) AS score FROM insp"),
     "review_decision": (
         review_decision,
-        f"""WITH {SQL_INSPECTED},
-        a AS (SELECT doc_id, i, out AS out1, flags AS flags1, CASE WHEN i % 2 = 0 THEN '1234 ' || text ELSE regexp_replace(text, '^[^ ]+', '') END AS text FROM insp WHERE length(text) > 0),
-        {SQL_INSPECTED.replace(fx.LINES + ",", "").replace("FROM lines", "FROM a").replace("doc_id, i, text,", "doc_id, i, text, out1, flags1,").replace("n0", "b0").replace("n1", "b1").replace("n2", "b2").replace("cut AS", "bcut AS").replace("FROM cut", "FROM bcut").replace("loop0", "bl0").replace("loop1", "bl1").replace("loop AS", "bloop AS").replace("FROM loop", "FROM bloop").replace("insp AS", "binsp AS")},
-        c AS (SELECT *, {SQL_SCORE.format(t="out1", f="flags1")} AS s1, {SQL_SCORE.format(t="out", f="flags")} AS s2 FROM binsp)
+        f"""{SQL_REVIEWED}
         SELECT doc_id, i, s2 > s1 AS accepted, array_to_string(CASE WHEN s2 > s1 THEN list_concat(['reviewed_by_qwen'], list_concat(flags, list_transform(flags1, lambda f: 'trocr_flag:' || f)))
           ELSE list_append(flags1, 'qwen_review_rejected') END, ',') AS flags FROM c""",
     ),

@@ -1,0 +1,164 @@
+"""Sinks: JSON that is read back before it is published, documents kept or written over, binary files, a folder as ZIP.
+
+What is written becomes visible under its name at once: it is written beside it, checked, and then renamed."""
+
+from __future__ import annotations
+
+import io
+import uuid
+import zipfile
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from scriptorium.functions import jsonx as js
+
+
+def _hadoop(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def publish(spark: SparkSession, made: str, path: str) -> None:
+    """Puts the folder ``made`` in the place of ``path``; what was there goes only when the new one is complete."""
+    fs, source = _hadoop(spark, made)
+    _, target = _hadoop(spark, path)
+    old = None
+    if fs.exists(target):
+        _, old = _hadoop(spark, f"{path}.{uuid.uuid4().hex}.old")
+        if not fs.rename(target, old):
+            raise OSError(f"{path} can't be moved")
+    if not fs.rename(source, target):
+        if old is not None:
+            fs.rename(old, target)
+        raise OSError(f"{made} can't be moved to {path}")
+    if old is not None:
+        fs.delete(old, True)
+
+
+def write_json(df: DataFrame, path: str, overwrite: bool = True) -> int:
+    """Writes each row as a line of JSON, null fields left out, and returns how many there are.
+
+    The lines are read back and parsed before they appear at ``path``; a line that is no JSON, or a count that is not
+    that of the rows written, is an error, and what was at the path stays."""
+    spark = df.sparkSession
+    fs, target = _hadoop(spark, path)
+    if not overwrite and fs.exists(target):
+        raise FileExistsError(path)
+    made = f"{path}.{uuid.uuid4().hex}.tmp"
+    lines = df.select(js.dump(F.struct(*(F.col(f"`{c}`") for c in df.columns))).alias("value"))
+    rows = F.count("*").alias("n")
+    try:
+        lines.write.text(made)
+        back = spark.read.text(made).agg(rows, F.count_if(F.try_parse_json("value").isNull()).alias("bad")).first()
+        if back["bad"]:
+            raise ValueError(f"{back['bad']} lines of {back['n']} are no JSON")
+        publish(spark, made, path)
+    except BaseException:
+        fs.delete(_hadoop(spark, made)[1], True)
+        raise
+    return back["n"]
+
+
+FILES = "path string, content binary"
+
+
+def json_files(df: DataFrame, path: str, data: str, pretty: bool = True) -> DataFrame:
+    """(path, content): for each row a JSON file of the column ``data`` (struct, map, array or VARIANT), indented or
+    without blanks, with a newline at its end. The text is parsed once more: a row whose text is no JSON is an error."""
+    text = js.dump(F.col(data), pretty)
+    sure = F.when(F.try_parse_json("_text").isNull(), F.raise_error(F.concat(F.lit("no JSON: "), F.col("_path")))).otherwise(F.concat("_text", F.lit("\n")))
+    return df.select(F.col(path).alias("_path"), text.alias("_text")).select(F.col("_path").alias("path"), F.encode(sure, "UTF-8").alias("content"))
+
+
+def write_files(files: DataFrame, root: str, overwrite: bool = True) -> DataFrame:
+    """Writes each row (path, content) as a file under ``root`` and returns (path, size, status) for each: written, or
+    kept where it was there and ``overwrite`` is false. The tasks write; nothing comes to the driver.
+
+    A file is written under a name of its own beside its place and then moved there, so that no half is ever seen, and a
+    task that runs again writes the same file again. Paths are relative, without dots that lead out of the root."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyarrow import fs
+
+        home, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                parts = (r["path"] or "").split("/")
+                if not r["path"] or any(p in ("", ".", "..") for p in parts):
+                    raise ValueError(f"not a path under the root: {r['path']!r}")
+                at, content = "/".join([base, *parts]), r["content"] or b""
+                if not overwrite and home.get_file_info(at).type != fs.FileType.NotFound:
+                    out.append((r["path"], home.get_file_info(at).size, "kept"))
+                    continue
+                home.create_dir(at.rsplit("/", 1)[0], recursive=True)
+                made = f"{at}.{uuid.uuid4().hex}.tmp"
+                with home.open_output_stream(made) as f:
+                    f.write(content)
+                home.move(made, at)
+                out.append((r["path"], len(content), "written"))
+            columns = list(zip(*out, strict=True)) or [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.string()), strict=True)], ["path", "size", "status"])
+
+    return files.select("path", "content").mapInArrow(run, "path string, size bigint, status string")
+
+
+def write_documents(df: DataFrame, path: str, key: str, overwrite: bool = False) -> int:
+    """Writes documents as Parquet. With ``overwrite`` they take the place of what is at ``path``; else those whose key
+    is not there yet are added, so that a run that was broken off goes on. Returns how many were written.
+
+    ``key`` should be a file's full name: names without their suffix meet where a.pdf and a.jpg do."""
+    spark = df.sparkSession
+    fs, target = _hadoop(spark, path)
+    made = f"{path}.{uuid.uuid4().hex}.tmp"
+    if not overwrite and fs.exists(target):
+        df = df.join(spark.read.parquet(path).select(key), key, "left_anti").select(*df.columns)
+    df.write.parquet(made)
+    n = spark.read.schema(df.schema).parquet(made).count()
+    if overwrite or not fs.exists(target):
+        publish(spark, made, path)
+    else:
+        spark.read.schema(df.schema).parquet(made).write.mode("append").parquet(path)
+        fs.delete(_hadoop(spark, made)[1], True)
+    return n
+
+
+def package(folder: str, archive: str) -> list[str]:
+    """Packs a folder (a URI) into a ZIP file (a URI), its own name first in each path, and returns the paths. Files are
+    read by pieces. A tool for the result of one document: it runs on the driver."""
+    from pyarrow import fs
+
+    home, base = fs.FileSystem.from_uri(folder.rstrip("/"))
+    there, at = fs.FileSystem.from_uri(archive)
+    name, paths = base.rsplit("/", 1)[-1], []
+    there.create_dir(at.rsplit("/", 1)[0], recursive=True)
+    made = f"{at}.{uuid.uuid4().hex}.tmp"
+    with there.open_output_stream(made) as out, zipfile.ZipFile(io.BufferedWriter(_Raw(out)), "w", zipfile.ZIP_DEFLATED) as z:
+        for info in sorted(home.get_file_info(fs.FileSelector(base, recursive=True)), key=lambda i: i.path):
+            inner = f"{name}/{info.path[len(base) + 1 :]}"
+            if info.type == fs.FileType.Directory:
+                z.writestr(f"{inner}/", b"")
+            else:
+                with home.open_input_stream(info.path) as source, z.open(inner, "w", force_zip64=True) as target:
+                    while piece := source.read(1 << 20):
+                        target.write(piece)
+            paths.append(inner)
+    there.move(made, at)
+    return paths
+
+
+class _Raw(io.RawIOBase):
+    """A stream that can only be written on, as the standard library wants it."""
+
+    def __init__(self, out):
+        self.out = out
+
+    def writable(self) -> bool:
+        return True
+
+    def write(self, data) -> int:
+        self.out.write(bytes(data))
+        return len(data)

@@ -5,10 +5,12 @@ import random
 import zipfile
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from scriptorium.functions import jsonx as js
-from scriptorium.operators import archive, documents, extraction, models, report, signal
+from scriptorium.operators import archive, documents, extraction, layout, models, records, report, signal
+from scriptorium.sinks import files as sinks
 from scriptorium.sources import files
 from scriptorium.streaming import intake
 
@@ -106,9 +108,232 @@ def failing_client():
 
 
 def test_model_calls(spark):
-    rows = spark.createDataFrame([(i, p) for i, p in enumerate(["a", "bad", "b", "c"])], "i int, payload string").coalesce(1)
+    rows = spark.createDataFrame([(i, p) for i, p in enumerate(["a", "bad", "b", "c", None, "shy"])], "i int, payload string").coalesce(1)
     got = models.call_model(rows, "test", failing_client, delay=0.0).orderBy("i").collect()
-    assert [(r["reply"], r["attempts"]) for r in got] == [("A", 1), (None, 3), ("B", 1), ("C", 1)] and got[1]["error"] == "ValueError: bad"
+    assert [(r["reply"], r["attempts"]) for r in got][:5] == [("A", 1), (None, 3), ("B", 1), ("C", 1), (None, 0)] and got[1]["error"] == "ValueError: bad"
+    assert got[5]["reply"] == "SHY"
+    assert models.call_model(rows.limit(0), "test", failing_client).collect() == []
+
+
+def replying(script):
+    """A client whose reply to a payload is the next one of its script; an exception in the script is raised."""
+
+    def make():
+        times = {}
+
+        def call(payloads):
+            out = []
+            for p in payloads:
+                key = bytes(p).decode() if isinstance(p, (bytes, bytearray)) else p["image"].decode() if isinstance(p, dict) and "image" in p else p["user"].split("\n")[0] if isinstance(p, dict) else p
+                n = times[key] = times.get(key, -1) + 1
+                reply = script[key][min(n, len(script[key]) - 1)]
+                if isinstance(reply, Exception):
+                    raise reply
+                out.append(reply)
+            return out
+
+        return call
+
+    return make
+
+
+def test_located_tables(spark):
+    good = '{"name": "locate_tables", "arguments": {"data": {"tables": [{"bbox": [100, 100, 500, 400], "confidence": 3}, {"bbox": [110, 100, 500, 410]}, {"bbox": [1, 2, 3]}, 7, {"bbox": ["a", 1, 2, 3]}, {"bbox": [1, 1, 2, 2]}]}}}'
+    script = {"many": [good], "none": ['{"data": {"tables": []}}'], "later": [ValueError("no"), '{"data": {"tables": "x"}}', good], "never": ["no json"], "gone": ["{}"]}
+    pages = spark.createDataFrame([(n, 1, k.encode()) for n, k in enumerate(script)] + [(9, 1, None)], "doc_id int, page int, image binary").coalesce(1)
+    got = models.locate_tables(pages, "locate", replying(script), 1000, 1000, delay=0.0).orderBy("doc_id")
+    rows = got.collect()
+    assert [(r["status"], len(r["tables"])) for r in rows] == [("ok", 2), ("ok", 0), ("ok", 2), ("error", 0), ("ok", 0), ("error", 0)]
+    assert tuple(rows[0]["tables"][0]) == (100, 100, 500, 400, 1.0) and rows[0]["tables"][1]["confidence"] == 0.5 and "BadReplyError" in rows[3]["error"]
+    assert [(r["doc_id"], r["n"], r["x1"], r["y2"]) for r in models.grown_tables(got).orderBy("doc_id").collect()] == [(0, 1, 100, 410), (2, 1, 100, 410)]
+    off = models.localisation(spark.createDataFrame([(1, 1, None, None)], "doc_id int, page int, reply string, error string"), 10, 10).first()
+    assert (off["status"], off["tables"]) == ("off", [])
+
+
+def test_recognized_lines_and_regions(spark):
+    lines = spark.createDataFrame([(1, b"a"), (2, b"b"), (3, None), (4, b"c")], "i int, crop binary").coalesce(1)
+    got = models.recognize_lines(lines, "lines", replying({"a": [" Привет   мир "], "b": [""], "c": [ValueError("x")]}), delay=0.0).orderBy("i").collect()
+    assert [(r["raw_text"], r["text"], r["quality_flags"]) for r in got] == [("Привет мир", "Привет мир", []), ("", "[НЕРАЗБОРЧИВО]", ["empty_output"]), (None, None, None), (None, None, None)]
+    assert got[2]["error"] and got[3]["error"] == "ValueError: x"
+    script = {"t": ['{"type": "table", "rows": [["a", "b"], ["c"]]}'], "e": ['{"type": "text", "content": " "}'], "s": ['{"content": ""}', '```json\n{"content": "x", "source": "printed"}\n```']}
+    rows = [(k, 1, 2, 3, 4, "qwen_full_page" if k == "t" else "rfdetr", k.encode()) for k in script]
+    found = models.recognize_regions(spark.createDataFrame(rows, "candidate_id string, x1 int, y1 int, x2 int, y2 int, localization_source string, crop binary").coalesce(1), "regions", replying(script), delay=0.0)
+    got = {r["candidate_id"]: r for r in found.collect()}
+    assert got["t"]["result"]["content"] == "a | b\nc" and got["t"]["error"] is None
+    assert got["e"]["result"] is None and "empty region" in got["e"]["error"] and got["s"]["result"]["source"] == "printed"
+    prompts = spark.createDataFrame(rows, "id string, x1 int, y1 int, x2 int, y2 int, source string, crop binary").select(models.region_prompt(F.col("source"), F.col("id"), models.Box.of()).alias("p")).collect()
+    assert prompts[0]["p"] == "Таблица t, bbox=[1, 2, 3, 4]. Распознай все ячейки." and prompts[1]["p"].startswith("Кандидат e, bbox=[1, 2, 3, 4]. ")
+
+
+def test_reviewed_lines(spark):
+    flags = ["suspicious_latin_output"]
+    lines = [(1, 1, 0, "Hello there", flags, b"up"), (1, 1, 1, "Good day", flags, b"down"), (1, 1, 2, "Again", flags, b"fail"), (1, 1, 3, "Привет", [], b"no"), (1, 1, 4, "Later", flags, b"more"), (1, 1, 5, "Bare", [*flags, "routed"], b"up")]
+    df = spark.createDataFrame([(*x[:4], x[3], *x[4:]) for x in lines], "doc_id int, page int, i int, text string, raw_text string, quality_flags array<string>, crop binary").coalesce(1)
+    script = {"up": ['{"data": {"text": " Привет  всем "}}'], "down": ['{"text": "xyzwq"}'], "fail": ["none"], "more": ["{}"]}
+    got = {r["i"]: r for r in models.review_lines(df, ["doc_id", "page", "i"], "review", replying(script), most=4, delay=0.0).collect()}
+    assert [(got[i]["status"], got[i]["text"]) for i in range(6)] == [("accepted", "Привет всем"), ("rejected", "Good day"), ("failed", "Again"), (None, "Привет"), ("rejected", "Later"), (None, "Bare")]
+    assert got[0]["quality_flags"] == ["reviewed_by_qwen", "trocr_flag:suspicious_latin_output"] and got[1]["quality_flags"] == [*flags, "qwen_review_rejected"]
+    assert got[2]["quality_flags"] == [*flags, "qwen_review_failed"] and got[2]["qwen3_vl"] is None and got[5]["quality_flags"] == [*flags, "routed"]
+    reviews = models.review_lines(df, ["doc_id", "page", "i"], "review", replying(script), most=4, delay=0.0).where("status IS NOT NULL").select("doc_id", "page", "i", "status", "trocr", "qwen3_vl")
+    with_them = {r["i"]: r for r in records.with_reviews(df, reviews, ["doc_id", "page", "i"]).collect()}
+    assert with_them[0]["primary_recognizer"] == "qwen3-vl-line-review" and with_them[1]["primary_recognizer"] == with_them[3]["primary_recognizer"] == "trocr"
+    assert with_them[3]["qwen_review"] is None and with_them[0]["alternatives"]["trocr"]["text"] == "Hello there"
+
+
+def test_extracted_parameters(spark):
+    record = '{"parameter": "Номер скважины", "value": "7", "raw_value": "N 7", "file": "a.pdf", "page": "1", "evidence": "well N 7", "confidence": "high"}'
+    whole = f'{{"records": [5, {record}, {{"parameter": "x"}}], "conflicts": [], "missing_parameters": [], "warnings": []}}'
+    script = {"task A": ['{"records": []}', whole], "task B": ["{}"]}
+    docs = spark.createDataFrame([("A", '{"pages":[]}'), ("B", "{}")], "doc string, document string").coalesce(1)
+    docs = docs.withColumn("document", F.concat(F.lit("\n"), "document"))
+    asked = docs.select(models.extraction_prompt("task", "document")).first()[0]
+    assert asked.startswith("task\n\n<OCR_JSON>\n") and asked.endswith("\n</OCR_JSON>")
+    got = {}
+    for d in ("A", "B"):
+        part = models.extract_parameters(docs.where(F.col("doc") == d), "system", f"task {d}", f"extract {d}", replying(script), delay=0.0)
+        got[d] = part.select("doc", "error", F.col("found").isNull().alias("none")).first()
+        if d == "A":
+            rows = models.raw_items(part, "records", models.RECORD)
+            pages = spark.createDataFrame([("A", "a.pdf", 1, "well n 7", "well n 7")], "doc string, file string, page int, hay1 string, hay2 string")
+            judged = {r["idx"]: r["warning"] for r in extraction.judge_records(rows, pages).collect()}
+            assert judged[1] == "Удалена невалидная запись records[1]." and judged[2] is None and judged[3] == "Удалена неполная запись records[3] (x)."
+    assert got["A"]["error"] is None and not got["A"]["none"] and "list expected" in got["B"]["error"] and got["B"]["none"]
+
+
+def test_grouped_lines(spark):
+    reply = '{"name": "save_ocr_structure", "arguments": {"data": {"blocks": [{"type": "title", "line_ids": [2, "1", 9]}, 5, {"type": "odd", "line_ids": ["1", "3"]}, {"type": "text", "line_ids": "x"}]}}}'
+    pages = spark.createDataFrame([(1, 1, "p"), (2, 1, "q")], "doc_id int, page int, payload string").coalesce(1)
+    proposed = models.group_lines(pages, "group", replying({"p": [reply], "q": ['{"data": {"blocks": 5}}']}), delay=0.0)
+    lines = spark.createDataFrame([(1, 1, str(n), n, f"t{n}", "text") for n in range(1, 5)], "doc_id int, page int, i string, ord int, text string, type string")
+    got = layout.regroup(proposed, lines).orderBy("n").collect()
+    assert [(r["type"], r["content"], r["lines"]) for r in got] == [("title", "t2\nt1", ["2", "1"]), ("unknown", "t3", ["3"]), ("text", "t4", ["4"])]
+
+
+def test_report_inputs(spark):
+    good = '{"records": [{"parameter": "p", "value": 0}], "conflicts": null}'
+    for text, want in [
+        (good, []), ("{}", []), ("[1]", ["object expected"]), (None, ["object expected"]), ('{"records": {}, "warnings": 5, "conflicts": []}', ["records: list expected", "warnings: list expected"]),
+        ('{"records": [5, {"parameter": " ", "value": "x"}, {"parameter": "a"}]}', ["records[1]: object expected", "records[2]: parameter and value expected", "records[3]: parameter and value expected"]),
+    ]:
+        assert one(spark, report.input_problems(F.try_parse_json("t")), t=("string", text)) == want
+
+
+def test_extractions_from_files(spark, tmp_path):
+    (tmp_path / "a.json").write_bytes(b'\xef\xbb\xbf{"records": []}')
+    (tmp_path / "b.json").write_text('{"records": 5}')
+    (tmp_path / "c.json").write_text("{")
+    got = {r["path"][-6:]: r["problems"] for r in report.read_extractions(spark, str(tmp_path)).select("path", "problems").collect()}
+    assert got == {"a.json": [], "b.json": ["records: list expected"], "c.json": ["object expected"]}
+
+
+def test_archive_limits_and_faults(spark):
+    def packed(**members):
+        data = io.BytesIO()
+        with zipfile.ZipFile(data, "w") as z:
+            for name, content in members.items():
+                z.writestr(name, content)
+        return data.getvalue()
+
+    locked = bytearray(packed(a=b"1", b=b"2"))
+    for at in (locked.find(b"PK\x01\x02") + 8, locked.find(b"PK\x03\x04") + 6):
+        locked[at] |= 1
+    torn = bytearray(packed(a=b"x" * 50, b=b"2"))
+    torn[torn.find(b"x" * 50)] = 0
+    rows = [("many", packed(a=b"1", b=b"2", c=b"3", d=b"4")), ("big", packed(a=b"1" * 300)), ("large", packed(a=b"1" * 180, b=b"2" * 190)), ("locked", bytes(locked)), ("torn", bytes(torn)), ("no zip", b"PK\x03\x04rest"), ("null", None), ("ok", packed(a=b"1"))]
+    members = files.zip_members(spark.createDataFrame(rows, "path string, content binary"), most_members=3, most_member_bytes=200, most_total_bytes=350).withColumn("kind", files.kind(F.col("content")))
+    got = archive.member_status(members).collect()
+    by = {(r["archive"], r["ordinal"]): (r["status"], r["error"], r["content"]) for r in got}
+    assert by["many", 0][1] == "4 members, at most 3" and by["large", 0][1] == "370 bytes, at most 350" and by["no zip", 0][0] == by["null", 0][0] == "skipped"
+    assert by["big", 1] == ("skipped", "300 bytes, at most 200", None)
+    assert by["locked", 1][1] == archive.ENCRYPTED and by["locked", 2] == ("ok", None, b"2")
+    assert by["torn", 1][1].startswith("BadZipFile") and by["torn", 2][0] == "ok" and by["ok", 1] == ("ok", None, b"1")
+    assert not [r for r in got if r["status"] == "ok" and r["content"] is None]
+
+
+def tiff(pages, order="<", big=False):
+    import struct as st
+
+    word, size = ("Q", 8) if big else ("I", 4)
+    head = (b"II" if order == "<" else b"MM") + st.pack(order + "H", 43 if big else 42) + (st.pack(order + "HH", 8, 0) if big else b"")
+    at, out = len(head) + size, b""
+    for n in range(pages):
+        entries = st.pack(order + ("Q" if big else "H"), 1) + b"\0" * (20 if big else 12)
+        at += len(entries) + size
+        out += entries + st.pack(order + word, at if n + 1 < pages else 0)
+    return head + st.pack(order + word, len(head) + size if pages else 0) + out
+
+
+def test_page_counts(spark):
+    import zlib
+
+    plain = b"%PDF-1.4\n1 0 obj <</Type /Pages /Kids [2 0 R 3 0 R] /Count 7>> endobj 2 0 obj <</Count 3 /Type/Pages>> endobj 4 0 obj <</Type /Page /Parent 1 0 R>> endobj"
+    packed = b"%PDF-1.5\n5 0 obj <</Type /ObjStm /N 1 /First 4 /Filter /FlateDecode>> stream\n" + zlib.compress(b"1 0 <</Type /Pages /Kids [] /Count 12>>") + b"\nendstream endobj"
+    rows = [(1, plain, 7), (2, packed, 12), (3, b"%PDF-1.4 nothing", None), (4, tiff(1), 1), (5, tiff(4), 4), (6, tiff(3, ">"), 3), (7, tiff(5, "<", True), 5), (8, b"\xff\xd8\xff", 1), (9, b"PK\x03\x04", None), (10, b"text", None), (11, None, None), (12, b"II*\0\xff\xff\xff\xff", None)]
+    df = spark.createDataFrame([r[:2] for r in rows], "i int, content binary").withColumn("kind", files.kind(F.col("content")))
+    df = df.withColumn("kind", F.when(F.col("i") == 7, "tiff").otherwise(F.col("kind")))
+    assert {r["i"]: r["pages"] for r in files.with_page_count(df).collect()} == {i: n for i, _, n in rows} | {12: 1}
+
+
+def test_loaded_pages_keep_their_errors(spark):
+    rows = spark.createDataFrame([("a", b"PK", "zip_archive", 0), ("b", b"\xff\xd8\xff", "jpeg", 0)], "path string, content binary, kind string, page int")
+    got = {r["path"]: r for r in files.load_pages(rows).collect()}
+    assert got["a"]["error"].startswith("ValueError") and got["b"]["image"] is None and got["b"]["error"]
+
+
+def test_missing_manifests(spark):
+    found = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z")], "page int, v string")
+    assert [r["page"] for r in files.missing_manifests(found, spark.createDataFrame([(1,), (2,), (3,)], "page int")).collect()] == [2]
+
+
+def test_json_sinks(spark, tmp_path):
+    import json
+
+    df = spark.createDataFrame([(1, "é\n\"x\"", None), (2, None, [1.5])], "a int, `b.c` string, d array<double>")
+    path = f"{tmp_path}/out"
+    assert sinks.write_json(df, path) == 2 and sinks.write_json(df.limit(1), path) == 1
+    assert [json.loads(r["value"]) for r in spark.read.text(path).collect()] == [{"a": 1, "b.c": "é\n\"x\""}]
+    with pytest.raises(FileExistsError):
+        sinks.write_json(df, path, overwrite=False)
+    assert sorted(x.name for x in tmp_path.iterdir()) == ["out"]
+    docs = df.select(F.concat(F.lit("p/"), F.col("a").cast("string"), F.lit(".json")).alias("path"), F.struct("a", "d").alias("data"))
+    for pretty in (True, False):
+        files_ = sinks.json_files(docs, "path", "data", pretty)
+        assert {r["path"]: json.loads(r["content"]) for r in files_.collect()} == {"p/1.json": {"a": 1}, "p/2.json": {"a": 2, "d": [1.5]}}
+    root = f"file://{tmp_path}/files"
+    assert sorted(tuple(r) for r in sinks.write_files(files_, root).collect()) == [("p/1.json", 8, "written"), ("p/2.json", 18, "written")]
+    assert {r["status"] for r in sinks.write_files(files_, root, overwrite=False).collect()} == {"kept"}
+    assert (tmp_path / "files/p/2.json").read_text() == '{"a":2,"d":[1.5]}\n' and not list(tmp_path.glob("files/p/*.tmp"))
+    for bad in ("../x", "", "/x", "a//b"):
+        with pytest.raises(Exception, match="not a path under the root"):
+            sinks.write_files(spark.createDataFrame([(bad, b"1")], "path string, content binary"), root).collect()
+    (tmp_path / "files/empty").mkdir()
+    names = sinks.package(root, f"file://{tmp_path}/z/all.zip")
+    with zipfile.ZipFile(tmp_path / "z/all.zip") as z:
+        assert z.read("files/p/1.json") == b'{"a":1}\n' and z.testzip() is None and set(names) == {"files/empty", "files/p", "files/p/1.json", "files/p/2.json"}
+
+
+def test_documents_are_resumed_or_written_over(spark, tmp_path):
+    df = spark.createDataFrame([("a.pdf", 1), ("a.jpg", 2)], "file string, n int")
+    path = f"{tmp_path}/docs"
+    read = lambda: sorted(tuple(r) for r in spark.read.parquet(path).collect())
+    assert sinks.write_documents(df.limit(1), path, "file") == 1
+    assert sinks.write_documents(df.withColumn("n", F.lit(9)), path, "file") == 1
+    assert sorted(r[0] for r in read()) == ["a.jpg", "a.pdf"] and sinks.write_documents(df, path, "file") == 0
+    assert sinks.write_documents(df, path, "file", overwrite=True) == 2 and read() == [("a.jpg", 2), ("a.pdf", 1)]
+
+
+def test_records_as_json(spark):
+    import json
+
+    row = ("l1", "text_line", 1, 2, 3, 4, None, 0.12345678, [3, 1, 3], None, None, "t", None, None)
+    df = spark.createDataFrame([row], "id string, type string, x1 int, y1 int, x2 int, y2 int, polygon array<array<int>>, conf double, tiles array<int>, region_id string, crop_path string, text string, raw_text string, quality_flags array<string>")
+    line, region = df.select(js.dump(records.detection(True)), js.dump(records.detection(False))).first()
+    want = {"id": "l1", "type": "text_line", "bbox": [1, 2, 3, 4], "detector_confidence": 0.123457, "tile_ids": [1, 3]}
+    assert json.loads(region) == want and json.loads(line) == want | {"text": "t", "raw_text": "", "quality_flags": []}
+    row = ("c1", "r1", 1, 2, 3, 4, None, None, None, None, None, 0.5, 0.33333333, 1.0, 1.0, 2.5, [1], "rfdetr", None, "e")
+    df = spark.createDataFrame([row], "candidate_id string, region_id string, x1 int, y1 int, x2 int, y2 int, b_x1 int, b_y1 int, b_x2 int, b_y2 int, crop_path string, conf double, area_ratio double, aspect_ratio double, squareness double, score double, lines array<int>, localization_source string, result string, error string")
+    got = df.select(records.candidate().alias("c")).first()["c"]
+    assert got["crop_bbox"] == [1, 2, 3, 4] and got["area_ratio"] == 0.333333 and got["error"] == "e" and got["covered_line_ids"] == [1]
 
 
 def test_stream_of_files(spark, tmp_path):
