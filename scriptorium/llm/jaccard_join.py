@@ -38,8 +38,8 @@ SIMILAR = (4, 5)
 BANDS, ROWS = 56, 6
 #: MinHash values that are compared at a time, and the posterior probability below which a pair is dropped.
 STEP, TOLERANCE = 28, 1e-7
-#: Texts, and their shingles, in a block of a cluster.
-BLOCK_TEXTS, BLOCK_SHINGLES = 1024, 1_000_000
+#: Texts, and their shingles, in a block of a cluster; shingles of the small clusters that are compared in one group.
+BLOCK_TEXTS, BLOCK_SHINGLES, GROUP_SHINGLES = 1024, 1_000_000, 250_000
 
 
 @cache
@@ -249,7 +249,7 @@ def _classes(df: DataFrame, id: str, text: str) -> tuple[DataFrame, DataFrame]:
     within = staged(within.groupBy("component", "band").agg(*size).where("texts > 1").select("component", "band", "texts", blocks), "within")
     square = F.col("texts").cast("double") * F.col("texts")
     loose = within.groupBy("component").agg(F.sum(square).alias("pairs")).join(sizes, "component").where(F.col("pairs") < square).select("component", F.lit(True).alias("by_bucket"))
-    groups = int((members.agg(F.sum("n_shingles")).first()[0] or 0) // BLOCK_SHINGLES) + 1
+    groups = int((members.agg(F.sum("n_shingles")).first()[0] or 0) // GROUP_SHINGLES) + 1
     placed = members.join(sizes.drop("texts"), "component").join(loose, "component", "left").select(
         "node", "first", "copies", "bands", F.col("component").alias("unit"), "blocks", F.coalesce("by_bucket", F.lit(False)).alias("by_bucket")
     )
