@@ -75,25 +75,31 @@ class Terms(dict):
 
 
 class Incidence:
-    """Which terms each text has, for sums over the terms of a text and over the texts of a term."""
+    """Which terms each text has, for sums over the terms of a text and over the texts of a term. Values come as rows of
+    numbers by term or by text; each row is summed by itself, as its numbers lie side by side."""
 
     def __init__(self, texts: list[np.ndarray], terms: int):
-        self.shape = len(texts), terms
-        self.text, self.term = np.repeat(np.arange(len(texts)), [len(t) for t in texts]), np.concatenate(texts)
-        self.order = np.argsort(self.term, kind="stable")
+        text, term = np.repeat(np.arange(len(texts)), [len(t) for t in texts]), np.concatenate(texts)
+        order = np.argsort(term, kind="stable")
+        self.of_text, self.of_term = self._runs(text, term, len(texts)), self._runs(term[order], text[order], terms)
+
+    @staticmethod
+    def _runs(key: np.ndarray, other: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+        return other.astype(np.int32), first, key[first], n
 
     def by_text(self, values: np.ndarray) -> np.ndarray:
-        return self._sums(self.text, values[self.term], self.shape[0])
+        return self._sums(values, *self.of_text)
 
     def by_term(self, values: np.ndarray) -> np.ndarray:
-        return self._sums(self.term[self.order], values[self.text[self.order]], self.shape[1])
+        return self._sums(values, *self.of_term)
 
     @staticmethod
-    def _sums(key: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-        out = np.zeros((n, rows.shape[1]), rows.dtype)
-        if len(key):
-            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            out[key[first]] = np.add.reduceat(rows, first, axis=0)
+    def _sums(values: np.ndarray, other: np.ndarray, first: np.ndarray, key: np.ndarray, n: int) -> np.ndarray:
+        out = np.zeros((len(values), n), values.dtype)
+        if len(first):
+            for row, sums in zip(values, out, strict=True):
+                sums[key] = np.add.reduceat(row[other], first)
         return out
 
 
@@ -150,24 +156,25 @@ class FactorizationMachine:
         rng = np.random.default_rng(seed)
         # The weights of terms that clearly speak for toxic texts start from their log-odds, and all are held near their start.
         start = np.where((z >= LEAST_Z) & (odds >= LEAST_ODDS), odds, 0)[kept].astype(np.float32)
-        params = [np.array([self.bias]), start.copy(), (rng.normal(size=(len(kept), RANK)) * SPREAD).astype(np.float32)]
+        params = [np.array([self.bias]), start.copy(), np.ascontiguousarray((rng.normal(size=(len(kept), RANK)) * SPREAD).astype(np.float32).T)]
         m, s = [np.zeros_like(q) for q in params], [np.zeros_like(q) for q in params]
         for step in range(1, STEPS + 1):
             b, w, v = params
-            sums = x.by_text(np.column_stack([v, w, (v**2).sum(1)]))
-            xv = sums[:, :RANK]
-            logit = b + sums[:, RANK] + 0.5 * ((xv**2).sum(1) - sums[:, RANK + 1])
+            sums = x.by_text(np.vstack([v, w, (v**2).sum(0)]))
+            xv = sums[:RANK]
+            logit = b + sums[RANK] + 0.5 * ((xv**2).sum(0) - sums[RANK + 1])
             g = ((1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y) * weight).astype(np.float32)
-            back = x.by_term(np.column_stack([xv * g[:, None], g]))
-            xg = back[:, RANK]
-            grads = [np.array([g.sum()]), xg + L2 * (w - start), back[:, :RANK] - v * xg[:, None] + L2 * v]
+            back = x.by_term(np.vstack([xv * g, g]))
+            xg = back[RANK]
+            grads = [np.array([g.sum()]), xg + L2 * (w - start), back[:RANK] - v * xg + L2 * v]
             for i, d in enumerate(grads):
                 m[i] = 0.9 * m[i] + 0.1 * d
                 s[i] = 0.999 * s[i] + 0.001 * d * d
                 params[i] = params[i] - RATE * (m[i] / (1 - 0.9**step)) / (np.sqrt(s[i] / (1 - 0.999**step)) + DAMP)
-            moved, long = params[1] - start, np.sqrt((params[2] ** 2).sum(1, keepdims=True)) + 1e-12
+            moved, long = params[1] - start, np.sqrt((params[2] ** 2).sum(0)) + 1e-12
             params[1] = start + np.sign(moved) * np.maximum(np.abs(moved) - RATE * SHRINK, 0)
             params[2] = params[2] * np.maximum(0, 1 - RATE * SHRINK / long)
+        params[2] = np.ascontiguousarray(params[2].T)
         # Terms without a weight and a vector add nothing to any score.
         used = (params[1] != 0) | (params[2] != 0).any(1)
         self.slots, params[1:] = {int(s): i for i, s in enumerate(kept[used])}, [q[used] for q in params[1:]]

@@ -70,6 +70,11 @@ def test_scores(results):
         assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in results(name))
 
 
+def test_rows_without_an_id_are_in_no_fold(results):
+    for name in ("op6_toxicity", "op7_quality"):
+        assert [r["held_out"] for r in results(name) if r["doc_id"] is None] == [False]
+
+
 def test_containment(results):
     found = {(r["doc_id"], r["item_id"]) for r in results("op8_decontamination")}
     assert found == {(12, 1), (12, 5), (12, None), (7, 4), (8, 4)}
