@@ -39,10 +39,12 @@ BLOCK_VECTORS = 1024
 GROUP_ROWS = 4096
 
 
-def tables_for(rows: int) -> tuple[int, int]:
-    """The width of keys, and how many tables they make, for so many rows."""
+def tables_for(rows: int, mean: float = 0.0) -> tuple[int, int]:
+    """The width of keys, and how many tables they make, for so many rows. Bits are taken from the common mean, whose norm
+    is ``mean``; seen from there two vectors at the threshold stand at a wider angle."""
     width = min(48, max(KEY_BITS, rows.bit_length()))
-    agree = (1 - np.arccos(COSINE) / np.pi) ** width
+    cosine = (COSINE - mean**2) / (1 - mean**2)
+    agree = (1 - np.arccos(cosine) / np.pi) ** width
     return width, int(np.ceil(np.log(MISSED) / np.log1p(-agree)))
 
 
@@ -51,12 +53,12 @@ class Quantiser:
     what they are in each table."""
 
     def __init__(self, sample: np.ndarray, rows: int = 1, seed: int = 3):
-        self.width, self.tables = tables_for(rows)
         self.dim = sample.shape[1] if len(sample) else 1
         self.mean = sample.mean(0) if len(sample) else np.zeros(1)
         if np.linalg.norm(self.mean) > MOST_MEAN:
             # Vectors that point one way lie too near their mean: taken from there, near ones would have any angle.
             self.mean = np.zeros(self.dim)
+        self.width, self.tables = tables_for(rows, float(np.linalg.norm(self.mean)))
         x = sample - self.mean
         _, axes = np.linalg.eigh(x.T @ x + 1e-12 * np.eye(self.dim))
         axes = axes[:, ::-1][:, :BITS]
