@@ -127,7 +127,7 @@ def safe_crop(ink: Box, width: Column, height: Column, ratio_x: float = 0.03, ra
     return F.struct((~bad).alias("applied"), *pick.named(), F.when(~bad, kept).alias("retained"))
 
 
-def line_crop(b: Box, width: Column, height: Column, pad_y: float, pad_x: float) -> Column:
+def line_crop(b: Box, width: Column, height: Column, pad_y: float = 0.30, pad_x: float = 0.018) -> Column:
     """Struct (x1, y1, x2, y2, kernel): the crop of a line, padded by shares of its height and width and cut at the tile's
     border, and the odd side of the square by which its mask grows."""
     w, h = F.greatest(F.lit(1), b.x2 - b.x1), F.greatest(F.lit(1), b.y2 - b.y1)

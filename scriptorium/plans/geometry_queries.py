@@ -127,9 +127,9 @@ QUERIES = {
           CASE WHEN applied THEN round((x2 - x1) * (y2 - y1) / CAST({W * H} AS DOUBLE), 6) END AS retained FROM b""",
     ),
     "masked_crop_bounds": (
-        lambda s, d: fx.detections(s, d).select("doc_id", "page", "i", "tile", geo.line_crop(Box.of(), F.lit(W), F.lit(H), 0.35, 0.03).alias("c")).select("doc_id", "page", "i", "tile", "c.*"),
+        lambda s, d: fx.detections(s, d).select("doc_id", "page", "i", "tile", geo.line_crop(Box.of(), F.lit(W), F.lit(H)).alias("c")).select("doc_id", "page", "i", "tile", "c.*"),
         f"""WITH {fx.DETECTIONS}, a AS (SELECT *, greatest(1, x2 - x1) AS w, greatest(1, y2 - y1) AS h FROM det),
-        b AS (SELECT *, greatest(4, CAST(trunc(h * CAST(0.35 AS DOUBLE)) AS INTEGER)) AS py, greatest(8, CAST(trunc(greatest(h * CAST(0.55 AS DOUBLE), w * CAST(0.03 AS DOUBLE))) AS INTEGER)) AS px, greatest(3, CAST(round_even(h * CAST(0.08 AS DOUBLE), 0) AS INTEGER)) AS k FROM a)
+        b AS (SELECT *, greatest(4, CAST(trunc(h * CAST(0.3 AS DOUBLE)) AS INTEGER)) AS py, greatest(8, CAST(trunc(greatest(h * CAST(0.55 AS DOUBLE), w * CAST(0.018 AS DOUBLE))) AS INTEGER)) AS px, greatest(3, CAST(round_even(h * CAST(0.08 AS DOUBLE), 0) AS INTEGER)) AS k FROM a)
         SELECT doc_id, page, i, tile, greatest(0, x1 - px) AS x1, greatest(0, y1 - py) AS y1, least({W}, x2 + px) AS x2, least({H}, y2 + py) AS y2, CASE WHEN k % 2 = 0 THEN k + 1 ELSE k END AS kernel FROM b""",
     ),
     "trimmed_line_bounds": (

@@ -70,6 +70,14 @@ def page_selection(spec: Column, pages: Column) -> Column:
     return F.when(F.coalesce(spec, F.lit("")) == "", F.when(pages > 0, F.sequence(F.lit(0), pages - 1))).otherwise(wanted)
 
 
+def weights_name(path: Column, content: Column) -> Column:
+    """The name under which converted weights are kept: their own, and what identifies them: the beginning of a name that
+    is a digest already, as in a download cache, else of the digest of their content."""
+    name = tx.basename(path)
+    stem, _ = tx.stem_and_suffix(name)
+    return F.concat(stem, F.lit("-"), F.substring(F.when(name.rlike(r"\A[0-9a-f]{40,64}\z"), name).otherwise(F.sha2(content, 256)), 1, 16), F.lit(".safetensors"))
+
+
 def manifests(spark: SparkSession, root: str) -> DataFrame:
     """The detection manifests under a document's folder."""
     schema = "page int, prepared_image string, page_size array<int>, lines array<struct<id:string,type:string,bbox:array<int>,polygon:array<array<int>>,detector_confidence:double,tile_ids:array<int>,region_id:string>>, regions array<struct<id:string,type:string,bbox:array<int>,detector_confidence:double,tile_ids:array<int>>>"

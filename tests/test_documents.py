@@ -348,3 +348,32 @@ def test_stream_of_files(spark, tmp_path):
     assert run() == ["pdf"]
     (tmp_path / "in/b.jpg").write_bytes(b"\xff\xd8\xff")
     assert run() == ["jpeg", "pdf"]
+
+
+def test_settings(spark):
+    from scriptorium.config import Settings
+
+    assert Settings.from_environment({}) == Settings() and Settings().problems() == [] and Settings().checked() == Settings()
+    got = Settings.from_environment({"SCRIPTORIUM_DPI": " 300 ", "SCRIPTORIUM_DETECTOR_CPU": " Yes", "SCRIPTORIUM_REVIEW_LINES": "0", "SCRIPTORIUM_LINE_MODEL": " m ", "SCRIPTORIUM_TILE_OVERLAP": "0.2", "DPI": "1"})
+    assert (got.dpi, got.detector_cpu, got.review_lines, got.line_model, got.tile_overlap) == (300, True, False, "m", 0.2)
+    with pytest.raises(ValueError, match="SCRIPTORIUM_DPI"):
+        Settings.from_environment({"SCRIPTORIUM_DPI": "x"})
+    bad = Settings(dpi=71, tile_overlap=0.45, table_min_area_ratio=0.7, vision_retries=-1, extraction_timeout=0, review_limit=0, table_crop_padding=0.25)
+    assert [p.split(":")[0] for p in bad.problems()] == ["dpi", "tile_overlap", "table_min_area_ratio", "review_limit", "table_crop_padding", "vision_retries", "extraction_timeout"]
+    with pytest.raises(ValueError, match="dpi: 72 at least; tile_overlap"):
+        bad.checked()
+
+
+def test_values_and_downloads(spark):
+    import json
+    from pathlib import Path
+    from types import SimpleNamespace
+
+    assert sinks.json_value({1: Path("/a"), "b": (1, {2}), "c": SimpleNamespace(x=None), "d": 1j}) == {"1": "/a", "b": [1, [2]], "c": {"x": None}, "d": "1j"}
+    rows = [("a.b.pdf", '{"pages": []}', '{"records": [1, 2], "conflicts": 5, "missing_parameters": ["x"]}'), ("c", None, "{}")]
+    df = spark.createDataFrame(rows, "name string, c string, e string").select("name", F.try_parse_json("c").alias("cleaned"), F.try_parse_json("e").alias("extraction"))
+    a, c = sinks.downloads(df).orderBy("source_name").collect()
+    assert (a["report_name"], a["cleaned_name"], a["extraction_name"], a["records"], a["conflicts"], a["missing"], a["error"]) == ("a.b_отчёт.pdf", "a.b_cleaned.json", "a.b_parameters.json", 2, 0, 1, None)
+    assert json.loads(a["extraction_bytes"])["records"] == [1, 2] and c["cleaned_bytes"] is None and c["error"] == "no cleaned document"
+    names = spark.createDataFrame([("/w/model.pth", b"abc"), ("/cache/" + "0123456789abcdef" * 3, b"")], "path string, content binary").select(files.weights_name(F.col("path"), F.col("content")).alias("n")).collect()
+    assert [r["n"] for r in names] == ["model-ba7816bf8f01cfea.safetensors", "0123456789abcdef" * 3 + "-0123456789abcdef.safetensors"]
