@@ -97,3 +97,17 @@ def test_pipeline(results):
     ids = [r["doc_id"] for r in results("pipeline")]
     assert ids.count(0) == 1 and not {1, 2, 3, 8, 12} & set(ids) and {4, 5, 9, 10, 11, 13, 14} <= set(ids)
     assert None in ids and all(r["round_trips"] for r in results("pipeline"))
+
+
+def test_shared_folder_has_to_be_named_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from scriptorium.llm import common
+
+    conf = lambda at: SimpleNamespace(get=lambda k, d: at, set=lambda k, v: None)
+    session = lambda master, at: SimpleNamespace(conf=conf(at), sparkContext=SimpleNamespace(master=master))
+    for master in ("spark://h:7077", "yarn", "k8s://h", "local-cluster[2,1,512]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            common.shared_dir(session(master, None))
+        assert common.shared_dir(session(master, "hdfs:///x/")) == "hdfs:///x"
+    assert common.shared_dir(session("local[*]", None)).startswith("file:///")
