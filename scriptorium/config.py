@@ -41,7 +41,7 @@ class Settings:
     vision_timeout: float = 240.0
     vision_retries: int = 2
     vision_retry_delay: float = 1.0
-    localization_max_tokens: int = 1024
+    localization_max_tokens: int = 1200
     review_lines: bool = False
     review_limit: int = 24
     review_max_tokens: int = 512

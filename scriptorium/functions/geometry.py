@@ -95,6 +95,16 @@ def from_thousandths(b: Box, width: Column, height: Column) -> Column:
     return F.when(ok, F.struct(*p.named()))
 
 
+def from_model(b: Box, scale_x: Column, scale_y: Column, width: Column, height: Column, top: Column) -> Column:
+    """Struct (x1, y1, x2, y2, share): a box in a model's picture of a tile as pixels of the page, on which the tile begins
+    at row ``top``. It is cut at the tile's border and one pixel wide and high at least; share is its part of the tile."""
+    at = lambda c, scale, most: F.greatest(F.lit(0), F.least(most, F.bround(c * scale).cast("int")))
+    x1, y1 = at(b.x1, scale_x, width - 1), at(b.y1, scale_y, height - 1)
+    x2, y2 = F.greatest(x1 + 1, at(b.x2, scale_x, width)), F.greatest(y1 + 1, at(b.y2, scale_y, height))
+    share = (x2 - x1) * (y2 - y1) / F.greatest(F.lit(1), width * height)
+    return F.struct(x1.alias("x1"), (y1 + top).alias("y1"), x2.alias("x2"), (y2 + top).alias("y2"), share.alias("share"))
+
+
 def normalize_angle(c: Column) -> Column:
     """The same direction between -45 and 45 degrees; each border keeps its side."""
     half = F.when((c > -90) & (c <= 90), c).otherwise(-F.pmod(-(c + 90), F.lit(180.0)) + 90)

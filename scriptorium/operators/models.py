@@ -167,6 +167,44 @@ def blocks_listed(reply: str) -> None:
         raise BadReplyError("blocks: list expected")
 
 
+def boxes_listed(reply: str) -> None:
+    """A detection lists boxes, if none."""
+    if not isinstance(object_in(reply).get("detections"), list):
+        raise BadReplyError("detections: list expected")
+
+
+#: The classes of a detector's boxes, and the least confidence and share of the tile that a box needs.
+CLASSES, LEAST_CONFIDENCE, LEAST_SHARE = {2: "text_line", 1: "text_region"}, 0.15, {"text_line": 7e-05, "text_region": 7e-05}
+
+
+def detected(replies: DataFrame) -> DataFrame:
+    """(doc_id, page, type, i, x1 .., conf, tiles) of the detector's replies on tiles (doc_id, page, tile from 0, top,
+    width, height, model_width, model_height, reply): boxes of lines and regions in pixels of the page. Boxes of other
+    classes, without four numbers, of too little confidence (0 where there is none) or too small go; tiles without a reply
+    have no rows."""
+    data = js.object_in_text(F.col("reply"))
+    listed = F.when(js.field_kind(data, "$.detections").startswith("ARRAY"), js.get(data, "$.detections", js.VARIANTS))
+    place = [*layout.PAGE, "tile", "top", "width", "height", "model_width", "model_height"]
+    rows = replies.select(*place, F.posexplode(F.filter(listed, js.is_object)).alias("i", "v"))
+    corner = [F.try_variant_get("v", f"$.bbox[{n}]", "double") for n in range(4)]
+    kind = F.lit(None).cast("string")
+    for number, name in CLASSES.items():
+        kind = F.when(F.try_variant_get("v", "$.class", "int") == number, name).otherwise(kind)
+    rows = rows.select(*place, "i", kind.alias("type"), *(c.alias(f"m_{n}") for c, n in zip(corner, ("x1", "y1", "x2", "y2"), strict=True)), F.coalesce(F.try_variant_get("v", "$.confidence", "double"), F.lit(0.0)).alias("conf"))
+    rows = rows.where(F.col("type").isNotNull() & (F.col("conf") >= F.lit(LEAST_CONFIDENCE)) & (F.col("m_x1") + F.col("m_y1") + F.col("m_x2") + F.col("m_y2")).isNotNull())
+    found = geo.from_model(Box.of(prefix="m_"), F.col("width") / F.col("model_width"), F.col("height") / F.col("model_height"), F.col("width"), F.col("height"), F.col("top"))
+    least = F.lit(0.0)
+    for name, share in LEAST_SHARE.items():
+        least = F.when(F.col("type") == name, F.lit(share)).otherwise(least)
+    rows = rows.withColumn("b", found).where(F.col("b.share") >= least)
+    return rows.select(*layout.PAGE, "type", "tile", "i", "b.x1", "b.y1", "b.x2", "b.y2", "conf", F.array((F.col("tile") + 1).cast("int")).alias("tiles"))
+
+
+def detect(tiles: DataFrame, name: str, factory: Callable[[], Client], image: str = "image", **calls) -> DataFrame:
+    """The lines and regions that a detector sees on tiles, as ``detected`` gives them; see there for the columns."""
+    return detected(call_model(tiles, name, factory, image, rule=boxes_listed, **calls))
+
+
 def recognize_lines(lines: DataFrame, name: str, factory: Callable[[], Client], crop: str = "crop", **calls) -> DataFrame:
     """Lines with raw_text, text and quality_flags from a recogniser of line pictures: white space is made single, and the
     text is inspected. A line without a picture or an answer has null texts and its error."""

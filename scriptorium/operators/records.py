@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scriptorium.functions import text as tx
+
 BOX = ("x1", "y1", "x2", "y2")
 
 
@@ -43,3 +45,17 @@ def candidate() -> Column:
         F.col("crop_path"), six("conf", "detector_confidence"), six("area_ratio", "area_ratio"), six("aspect_ratio", "aspect_ratio"), six("squareness", "squareness"), six("score", "candidate_score"),
         F.col("lines").alias("covered_line_ids"), F.col("localization_source"), F.col("result").alias("vlm_result"), F.col("error"),
     )
+
+
+def overlay(boxes: DataFrame, width: int, height: int, keys: tuple[str, ...] = ("doc_id", "page")) -> DataFrame:
+    """(keys, svg): the boxes (keys, id, x1 .., type) of a page as a drawing to lay over its picture: rectangles with
+    their ids, lines and regions in colours of their own."""
+    n = lambda c: F.col(c).cast("string")
+    colour = F.when(F.col("type") == "text_line", "#d62728").otherwise("#1f77b4")
+    shape = F.concat(
+        F.lit('<rect x="'), n("x1"), F.lit('" y="'), n("y1"), F.lit('" width="'), (F.col("x2") - F.col("x1")).cast("string"), F.lit('" height="'), (F.col("y2") - F.col("y1")).cast("string"),
+        F.lit('" fill="none" stroke="'), colour, F.lit('"/><text x="'), n("x1"), F.lit('" y="'), n("y1"), F.lit('">'), tx.escape(n("id")), F.lit("</text>"),
+    )
+    pages = boxes.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("y1", "x1", "id", shape.alias("shape")))).alias("s"))
+    head = f'<svg xmlns="http://www.w3.org/2000/svg" viewBox="0 0 {width} {height}">'
+    return pages.select(*keys, F.concat(F.lit(head), F.array_join("s.shape", ""), F.lit("</svg>")).alias("svg"))

@@ -45,13 +45,10 @@ def bbox_normalized_to_pixels(spark, d):
 def detection_to_page_coords(spark, d):
     """Tile detections scaled from a 768-pixel model image to a tile that starts at the page's 400th row, clamped to it;
     boxes of a too small share of the tile go."""
-    rows = fx.detections(spark, d)
-    sx, sy = F.lit(W / 768), F.lit(900 / 692)
-    x1, x2 = (F.greatest(F.lit(0), F.least(F.lit(W - 1), F.bround(F.col(c) * sx).cast("int"))) for c in ("x1", "x2"))
-    y1, y2 = (F.greatest(F.lit(0), F.least(F.lit(899), F.bround(F.col(c) * sy).cast("int"))) for c in ("y1", "y2"))
-    placed = rows.select("doc_id", "page", "i", "tile", x1.alias("x1"), y1.alias("y1"), F.greatest(x1 + 1, x2).alias("x2"), F.greatest(y1 + 1, y2).alias("y2"))
-    kept = placed.where((F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1")) / F.lit(W * 900) >= F.lit(7e-05))
-    return kept.select("doc_id", "page", "i", (F.col("tile") + 1).alias("tile_id"), "x1", (F.col("y1") + 400).alias("y1"), "x2", (F.col("y2") + 400).alias("y2"))
+    lit = F.lit
+    place = geo.from_model(Box.of(), lit(W / 768), lit(900 / 692), lit(W), lit(900), lit(400))
+    rows = fx.detections(spark, d).select("doc_id", "page", "i", (F.col("tile") + 1).alias("tile_id"), place.alias("b"))
+    return rows.where(F.col("b.share") >= lit(7e-05)).select("doc_id", "page", "i", "tile_id", "b.x1", "b.y1", "b.x2", "b.y2")
 
 
 def located(spark, d):
@@ -95,7 +92,7 @@ QUERIES = {
     "detection_to_page_coords": (
         detection_to_page_coords,
         f"""WITH {fx.DETECTIONS}, a AS (SELECT doc_id, page, i, tile, greatest(0, least({W - 1}, CAST(round_even(x1 * CAST({W / 768!r} AS DOUBLE), 0) AS INTEGER))) AS x1, greatest(0, least(899, CAST(round_even(y1 * CAST({900 / 692!r} AS DOUBLE), 0) AS INTEGER))) AS y1,
-          greatest(0, least({W - 1}, CAST(round_even(x2 * CAST({W / 768!r} AS DOUBLE), 0) AS INTEGER))) AS x2, greatest(0, least(899, CAST(round_even(y2 * CAST({900 / 692!r} AS DOUBLE), 0) AS INTEGER))) AS y2 FROM det),
+          greatest(0, least({W}, CAST(round_even(x2 * CAST({W / 768!r} AS DOUBLE), 0) AS INTEGER))) AS x2, greatest(0, least(900, CAST(round_even(y2 * CAST({900 / 692!r} AS DOUBLE), 0) AS INTEGER))) AS y2 FROM det),
         b AS (SELECT doc_id, page, i, tile, x1, y1, greatest(x1 + 1, x2) AS x2, greatest(y1 + 1, y2) AS y2 FROM a)
         SELECT doc_id, page, i, tile + 1 AS tile_id, x1, y1 + 400 AS y1, x2, y2 + 400 AS y2 FROM b WHERE (x2 - x1) * (y2 - y1) / CAST({W * 900} AS DOUBLE) >= CAST(7e-05 AS DOUBLE)""",
     ),

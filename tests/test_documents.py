@@ -377,3 +377,18 @@ def test_values_and_downloads(spark):
     assert json.loads(a["extraction_bytes"])["records"] == [1, 2] and c["cleaned_bytes"] is None and c["error"] == "no cleaned document"
     names = spark.createDataFrame([("/w/model.pth", b"abc"), ("/cache/" + "0123456789abcdef" * 3, b"")], "path string, content binary").select(files.weights_name(F.col("path"), F.col("content")).alias("n")).collect()
     assert [r["n"] for r in names] == ["model-ba7816bf8f01cfea.safetensors", "0123456789abcdef" * 3 + "-0123456789abcdef.safetensors"]
+
+
+def test_detected_boxes(spark):
+    import xml.etree.ElementTree as et
+
+    boxes = [(2, 0.9, [10, 10, 110, 30]), (1, 0.5, [0, 0, 400, 300]), (3, 0.9, [1, 1, 50, 50]), (2, 0.1, [1, 1, 50, 50]), (2, 0.9, [5, 5, 5, 5]), (2, 0.9, [390, -9, 900, 20]), (2, 0.8, [1, 2, 3])]
+    reply = '{"detections": [5, %s, {"class": 2, "bbox": [1, 1, 50, 50]}]}' % ", ".join(f'{{"class": {c}, "confidence": {p}, "bbox": {b}}}' for c, p, b in boxes)
+    tiles = spark.createDataFrame([(1, 1, 0, 0, 800, 600, 400, 300, b"a"), (1, 1, 1, 500, 800, 600, 400, 300, b"b"), (1, 2, 0, 0, 800, 600, 400, 300, b"c")], "doc_id int, page int, tile int, top int, width int, height int, model_width int, model_height int, image binary").coalesce(1)
+    found = models.detect(tiles, "detect", replying({"a": [reply], "b": ["{}", reply], "c": ["none"]}), delay=0.0)
+    got = sorted((r["page"], r["tile"], r["type"], r["x1"], r["y1"], r["x2"], r["y2"], r["conf"], tuple(r["tiles"])) for r in found.collect())
+    one = [("text_line", 20, 20, 220, 60, 0.9), ("text_line", 780, 0, 800, 40, 0.9), ("text_region", 0, 0, 800, 600, 0.5)]
+    assert got == [(1, t, k, x1, y1 + top, x2, y2 + top, c, (t + 1,)) for t, top in ((0, 0), (1, 500)) for k, x1, y1, x2, y2, c in one]
+    svg = records.overlay(found.withColumn("id", F.concat(F.lit("<"), "i")), 800, 1100).first()["svg"]
+    root = et.fromstring(svg)
+    assert len(root) == 12 and root[1].text.startswith("<") and {x.get("stroke") for x in root[::2]} == {"#d62728", "#1f77b4"}
