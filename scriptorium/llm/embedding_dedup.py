@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptorium.llm.common import drop_staged, read, small_batches, staged
-from scriptorium.llm.jaccard_join import LINKS_SQL, linked_classes, links_table, summed_links
+from scriptorium.llm.jaccard_join import LINKS_SQL, linked_classes, links_table, summed_links, with_result
 
 COSINE = 0.93
 SAMPLE, ROUNDS, BITS, MOST_MEAN = 10_000, 40, 64, 0.6
@@ -224,16 +224,7 @@ def near_embeddings(df: DataFrame, id: str = "vec_id", vector: str = "embedding"
     links = staged(dealt.groupBy("group").applyInArrow(_comparer(model), LINKS_SQL), "links")
     result = linked_classes(classes, links, "id")
     drop_staged(classes, met, links)
-    return (
-        sketched.select("id", "set_key")
-        .join(result, "set_key", "left")
-        .select(
-            F.col("id").alias("vec_id"),
-            F.coalesce("n", F.lit(0)).cast("bigint").alias("n_links"),
-            F.coalesce("class_id", "id").alias("component_id"),
-            F.coalesce(F.coalesce("class_id", "id") == F.col("id"), F.lit(True)).alias("kept"),
-        )
-    )
+    return with_result(sketched.select("id", "set_key"), result).toDF("vec_id", "n_links", "component_id", "kept")
 
 
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -285,14 +285,22 @@ def linked_classes(classes: DataFrame, links: DataFrame, id: str) -> DataFrame:
     joined = connected_components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     sums = links.groupBy("node").agg(F.sum("n").alias("n"))
     all_ = classes.select("set_key", "node", "copies", "first").join(sums, "node", "left").join(joined, "node", "left")
-    all_ = all_.select("set_key", "first", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), "component")
-    keepers = all_.where("component IS NOT NULL").groupBy("component").agg(F.min("first").alias("keeper"))
-    out = all_.join(keepers, "component", "left").withColumn("keeper", F.coalesce("keeper", "first"))
+    all_ = all_.select("set_key", "node", "first", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), "component")
+    keepers = all_.where("component IS NOT NULL").groupBy(F.col("component").alias("_c")).agg(F.min("first").alias("keeper"))
+    # Most classes have no component: they get keys of their own, so that they do not all go to the partition of null.
+    out = all_.withColumn("_c", F.coalesce("component", -F.col("node") - 1)).join(keepers, "_c", "left").withColumn("keeper", F.coalesce("keeper", "first"))
     out = staged(out.select("set_key", "n", F.col(f"keeper.{id}").alias("class_id"), "keeper"), "result")
     drop_staged(joined)
     return out
 
 
+def with_result(rows: DataFrame, result: DataFrame) -> DataFrame:
+    """(id, n, class_id, kept) of rows (id, set_key) from the result of their classes; rows without a class link with
+    nothing, and are not sent to the join, where they would all meet."""
+    linked = rows.where("set_key IS NOT NULL").join(result, "set_key").select("id", F.col("n").cast("bigint").alias("n"), "class_id", (F.col("class_id") == F.col("id")).alias("kept"))
+    return linked.unionByName(rows.where("set_key IS NULL").select("id", F.lit(0).cast("bigint").alias("n"), F.col("id").alias("class_id"), F.lit(True).alias("kept")))
+
+
 def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of ``df``: (doc_id, n_links, class_id, kept).
 
@@ -300,12 +308,7 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     and kept marks the rows with that id.
     """
     rows, result = _classes(df, id, text)
-    return rows.select("doc", "set_key").join(result, "set_key", "left").select(
-        F.col("doc").alias("doc_id"),
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("n_links"),
-        F.coalesce("class_id", "doc").alias("class_id"),
-        F.coalesce(F.coalesce("class_id", "doc") == F.col("doc"), F.lit(True)).alias("kept"),
-    )
+    return with_result(rows.select(F.col("doc").alias("id"), "set_key"), result).toDF("doc_id", "n_links", "class_id", "kept")
 
 
 def keep_one(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
