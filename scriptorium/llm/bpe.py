@@ -32,8 +32,8 @@ from scriptorium.llm.common import read, small_batches
 
 #: The place of the vocabulary on this machine and on the executors; it is a parameter of every function here.
 VOCABULARY = os.environ.get("SCRIPTORIUM_BPE", "")
-#: Words whose ids a worker remembers at once.
-REMEMBERED = 600_000
+#: Words whose ids a worker remembers at once, and borders between tokens of which it knows whether the merges keep them.
+REMEMBERED, BORDERS = 400_000, 500_000
 
 # Fixed value: the split into words that byte-level vocabularies of this kind are made for.
 WORD = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -134,7 +134,7 @@ class Bpe(dict):
                     limit, a = a, self.halves[a][1]
                 else:
                     limit, b = b + 1, self.halves[b][0]
-        if len(self.compatible) > 2_000_000:
+        if len(self.compatible) >= BORDERS:
             self.compatible.clear()
         self.compatible[left << 32 | right] = ok
         return ok

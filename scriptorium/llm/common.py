@@ -11,8 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of one Arrow batch that a Python worker holds; texts may be long, so this is far below Spark's default.
-ARROW_ROWS = 512
+#: Rows of one Arrow batch that a Python worker holds, and the bytes from which a batch ends before that; texts may be
+#: long, so both are far below Spark's defaults. A batch holds as much more as its last row does.
+ARROW_ROWS, ARROW_BYTES = 512, 16 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,9 +23,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
+    """Bounds the batches of whole texts: those that go to Python workers, and those that Parquet is read in."""
+    for key, most in (
+        ("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS),
+        ("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES),
+        ("spark.sql.parquet.columnarReaderBatchSize", ARROW_ROWS),
+    ):
+        now = re.match(r"-?\d+$", spark.conf.get(key, None) or "")
+        if not now or not 0 < int(now[0]) <= most:
+            spark.conf.set(key, str(most))
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -14,13 +14,15 @@ import numpy as np
 SHINGLE = 5
 WORD = re.compile(r"\w+")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+#: Words whose numbers a worker remembers at once.
+REMEMBERED = 200_000
 
 
 class WordHashes(dict):
     """A 64-bit number for each word, remembered up to a bound."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) >= REMEMBERED:
             self.clear()
         found = self[word] = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
         return found

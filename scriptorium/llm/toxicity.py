@@ -36,6 +36,8 @@ SPREAD, DAMP, SHRINK = 0.05, 1e-3, 0.05
 #: How much more a toxic training text counts than another.
 TOXIC_WEIGHT = 3.0
 THRESHOLD = 0.7
+#: Words whose slots a worker remembers at once.
+REMEMBERED = 150_000
 FOLDS, HELD = 3, 1
 
 WORD = re.compile(r"\w+")
@@ -65,7 +67,7 @@ class Terms(dict):
         self.at = at
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 300_000:
+        if len(self) >= REMEMBERED:
             self.clear()
         found = self[word] = tuple(self.at[s] for s in term_slots(word) if s in self.at)
         return found

@@ -1,9 +1,12 @@
 """Each query of the subpackage over tables of hard cases, and over empty ones."""
 
 import corpus_pipeline
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from scriptorium.llm import queries
+from scriptorium.llm.common import ARROW_BYTES, small_batches
 
 QUERIES = queries.queries() | {"pipeline": corpus_pipeline.run}
 KEY = {"op3": "page_id", "op4": "page_id", "op5": "vec_id"}
@@ -111,3 +114,16 @@ def test_shared_folder_has_to_be_named_on_a_cluster(spark):
             common.shared_dir(session(master, None))
         assert common.shared_dir(session(master, "hdfs:///x/")) == "hdfs:///x"
     assert common.shared_dir(session("local[*]", None)).startswith("file:///")
+
+
+def test_batches_of_very_long_texts_are_bounded(spark):
+    small_batches(spark)
+
+    @F.arrow_udf("bigint")
+    def held(texts: pa.Array) -> pa.Array:
+        return pa.array([texts.nbytes] * len(texts), pa.int64())
+
+    long = 6 << 20
+    texts = spark.range(0, 12, 1, 1).select(F.repeat(F.lit("x"), F.lit(long).cast("int")).alias("text"))
+    got = [r[0] for r in texts.select(held("text")).collect()]
+    assert len(got) == 12 and max(got) < ARROW_BYTES + long + 4096
