@@ -55,14 +55,16 @@ def object_in_text(c: Column) -> Column:
     """The first JSON object in a reply, as VARIANT: of a tool call, of the whole text without its code fence, or from
     its first to its last brace; null without one."""
     text = strip(F.coalesce(c, F.lit("")))
-    bare = F.regexp_replace(F.regexp_replace(text, r"\A(?i:```(?:json)?)\s*", ""), r"\s*```\z", "")
+    unfenced = lambda x: F.regexp_replace(F.regexp_replace(x, r"\A(?i:```(?:json)?)\s*", ""), r"\s*```\z", "")
+    bare = let(text, lambda x: F.when(x.contains("```"), unfenced(x)).otherwise(x))
 
     def first_object(t: Column) -> Column:
         call = F.regexp_extract(t, r"(?s)<tool_call>\s*(\{.*?\})\s*</tool_call>", 1)
         open_, close = F.instr(t, "{"), F.length(t) - F.instr(F.reverse(t), "}") + 1
         inner = F.when((open_ > 0) & (F.instr(t, "}") > 0) & (close > open_), F.substring(t, open_, close - open_ + 1))
-        tried = F.transform(F.array(call, t, inner), F.try_parse_json)
-        return F.get(F.filter(tried, is_object), F.lit(0))
+        found = lambda s: let(F.try_parse_json(s), lambda v: F.when(is_object(v), v))
+        # What comes later is parsed only where that before is no object; a text that is none costs an exception.
+        return F.coalesce(F.when(t.contains("<tool_call>"), let(call, lambda c: F.when(c != "", found(c)))), found(t), found(inner))
 
     return let(bare, first_object)
 

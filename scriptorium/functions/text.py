@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -28,18 +29,39 @@ PAGE_NUMBER = r"\A[-–— ]*(?U:\d){1,4}[-–— ]*\z"
 DATE = r"(?U)\b(?:[0-3]?\d[./-][01]?\d[./-](?:\d{2}|\d{4})|[0-3]?\d\s+[а-яё]+\s+\d{4})\b"
 LIST_ITEM = r"(?U)\A\s*(?:[-•·]|\d+[.)]|[а-яё][.)])\s+"
 SPACE = r"[\s\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: All white space but the blank, and few other characters. A class of many ranges, as SPACE is, costs ten times one that is
+#: a list of characters below 256, or one or two ranges; most texts have none of these.
+ODD_SPACE = r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f\u0085\u00a0]"
+FAR_SPACE = r"[\u1680-\u200f\u2028-\u3000]"
+LATIN = f"[{string.ascii_letters}]"
+CYRILLIC = "[А-Яа-яЁё]"
 #: Letters whose full case folding is longer than, or other than, their lower case.
 FOLDS = {"ß": "ss", "ς": "σ", "ſ": "s", "ŉ": "ʼn", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st", "µ": "μ"}
 
 
 def strip(c: Column) -> Column:
     """Without white space of any kind at either end."""
-    return F.regexp_replace(c, rf"{SPACE}+\z|\A{SPACE}+", "")
+    ends = lambda x: F.concat(F.left(x, F.lit(1)), F.right(x, F.lit(1)))
+    return let(c, lambda x: F.when(ends(x).rlike(SPACE), F.regexp_replace(x, rf"{SPACE}+\z|\A{SPACE}+", "")).otherwise(x))
+
+
+def odd_space(c: Column) -> Column:
+    """False only where a text has no white space but blanks."""
+    return c.rlike(ODD_SPACE) | ((F.octet_length(c) > F.length(c)) & c.rlike(FAR_SPACE))
+
+
+def without_space(c: Column) -> Column:
+    """Without any white space."""
+    return let(c, lambda x: F.when(odd_space(x), F.regexp_replace(x, f"{SPACE}+", "")).otherwise(F.replace(x, F.lit(" "), F.lit(""))))
 
 
 def normalize_space(c: Column) -> Column:
     """Runs of white space become one space; none is left at the ends; null becomes the empty text."""
-    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), f"{SPACE}+", " "))
+
+    def single(x: Column) -> Column:
+        return F.when(odd_space(x), F.regexp_replace(x, f"{SPACE}+", " ")).when(x.contains("  "), F.regexp_replace(x, " {2,}", " ")).otherwise(x)
+
+    return F.trim(let(F.coalesce(c, F.lit("")), single))
 
 
 def casefold(c: Column) -> Column:
@@ -69,19 +91,25 @@ def escape(out: Column) -> Column:
 
 
 def letters_count(c: Column, pattern: str) -> Column:
-    return F.regexp_count(c, F.lit(pattern))
+    """How many characters of a text are of a class: what its runs take from the length, as runs are fewer than letters."""
+    return let(c, lambda x: F.length(x) - F.length(F.regexp_replace(x, f"{pattern}+", "")))
+
+
+def some_cyrillic(c: Column) -> Column:
+    """False only where a text has no Cyrillic letter that counts."""
+    return (F.octet_length(c) > F.length(c)) & c.rlike("[Ё-ё]")
 
 
 def cyrillic_count(c: Column) -> Column:
-    return letters_count(c, "[А-Яа-яЁё]")
+    return let(c, lambda x: F.when(some_cyrillic(x), letters_count(x, CYRILLIC)).otherwise(F.length(x) * 0))
 
 
 def latin_count(c: Column) -> Column:
-    return letters_count(c, "[A-Za-z]")
+    return letters_count(c, LATIN)
 
 
 def digit_count(c: Column) -> Column:
-    return letters_count(c, r"(?U)\d")
+    return F.regexp_count(c, F.lit(r"(?U)\d"))  # few, as a rule
 
 
 def uppercase_ratio(c: Column) -> Column:
@@ -94,8 +122,8 @@ def characters(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit("(?s)(.)"), F.lit(1))
 
 
-def repeated_pattern(c: Column) -> Column:
-    """Whether a text of 24 or more characters (white space apart) is a loop: one character twelve times in a row, or
+def repeated_pattern(c: Column, normal: bool = False) -> Column:
+    """Whether a text (``normal``: whose white space is normalised already) of 24 or more characters (white space apart) is a loop: one character twelve times in a row, or
     0.88 of it as if its first one to eleven characters went on and on."""
 
     def loops(letters: Column) -> Column:
@@ -107,13 +135,15 @@ def repeated_pattern(c: Column) -> Column:
 
         return F.exists(F.sequence(F.lit(1), F.least(F.lit(11), F.floor(n / 6).cast("int"))), alike)
 
-    # What is like a run of its first eleven characters consists of them, so most texts need no closer look.
-    other = lambda x: F.length(F.call_function("translate", x, F.substring(x, 1, 11), F.lit("")))
+    # What is like a run of its first eleven characters consists of them, so most texts need no closer look; in most, the
+    # first third holds enough others.
+    other = lambda x, part: F.length(F.call_function("translate", part, F.substring(x, 1, 11), F.lit("")))
     return let(
-        F.regexp_replace(F.coalesce(c, F.lit("")), f"{SPACE}+", ""),
+        F.replace(c, F.lit(" "), F.lit("")) if normal else without_space(F.coalesce(c, F.lit(""))),
         lambda x: F.when(F.length(x) < 24, F.lit(False))
         .when(x.rlike(r"(?s)(.)\1{11,}"), F.lit(True))
-        .when(other(x) > F.length(x) * F.lit(0.1200001), F.lit(False))
+        .when(other(x, F.left(x, F.floor(F.length(x) / 3).cast("int"))) > F.length(x) * F.lit(0.1200001), F.lit(False))
+        .when(other(x, x) > F.length(x) * F.lit(0.1200001), F.lit(False))
         .otherwise(let(characters(x), loops)),
     )
 
@@ -140,19 +170,25 @@ def truncate_repetition(c: Column, least: int = 4, longest: int = 12) -> Column:
     def result(tokens: Column) -> Column:
         return let(
             _kept_tokens(tokens, least, longest),
-            lambda keep: F.struct(F.array_join(F.when(keep.isNull(), tokens).otherwise(F.slice(tokens, 1, keep)), " ").alias("text"), keep.isNotNull().alias("truncated")),
+            lambda keep: F.struct(F.when(keep.isNull(), c).otherwise(F.array_join(F.slice(tokens, 1, keep), " ")).alias("text"), keep.isNotNull().alias("truncated")),
         )
 
-    return let(F.split(c, " "), result)
+    # What is repeated ends in the last token, so that stands before the end as well; few texts are split for it.
+    last = F.substring_index(c, " ", -1)
+    again = c.contains(F.concat(F.lit(" "), last, F.lit(" "))) | c.startswith(F.concat(last, F.lit(" ")))
+    return F.when(again, let(F.split(c, " "), result)).when(c.isNotNull(), F.struct(c.alias("text"), F.lit(False).alias("truncated"))).otherwise(let(F.split(c, " "), result))
 
 
 def mostly_latin(c: Column) -> Column:
-    latin = latin_count(c)
-    return (latin > cyrillic_count(c) * 1.5) & (latin >= 5)
+    """Whether a text has five Latin letters or more, and more than half again as many as Cyrillic ones: letters of either
+    kind are counted only where there may be both."""
+    more = F.when(some_cyrillic(c), latin_count(c) > cyrillic_count(c) * 1.5).otherwise(F.lit(True))
+    five = f"(?:{LATIN}[^{string.ascii_letters}]*+){{5}}"
+    return (F.left(c, F.lit(64)).rlike(five) | c.rlike(five)) & more
 
 
-def headline_stripped(c: Column) -> Column:
-    return F.regexp_replace(normalize_space(c), r"\A#{1,6} +", "")
+def headline_stripped(c: Column, normal: bool = False) -> Column:
+    return let(c if normal else normalize_space(c), lambda x: F.when(x.startswith("#"), F.regexp_replace(x, r"\A#{1,6} +", "")).otherwise(x))
 
 
 def inspected(text: Column, cut: Column, truncated: Column, loop: Column) -> Column:
@@ -170,20 +206,21 @@ def inspected(text: Column, cut: Column, truncated: Column, loop: Column) -> Col
     )
 
 
-def quality_score(text: Column, flags: Column) -> Column:
-    """The worth of a recognised line; -100 where it is empty or unreadable."""
+def quality_score(text: Column, flags: Column, normal: bool = False) -> Column:
+    """The worth of a recognised line (``normal``: whose white space is normalised already); -100 where it is empty or
+    unreadable."""
     cost = F.create_map(*(F.lit(x) for pair in PENALTIES.items() for x in pair))
     lost = F.aggregate(F.coalesce(flags, F.array().cast("array<string>")), F.lit(0.0), lambda a, f: a + F.coalesce(F.try_element_at(cost, f), F.lit(0.0)))
 
-    def worth(t: Column, cyrillic: Column, latin: Column) -> Column:
-        out = F.least(F.lit(40.0), (cyrillic + digit_count(t)) * F.lit(0.7) + F.length(t) * F.lit(0.08))
-        return out + F.when(cyrillic > 0, 8.0).otherwise(0.0) - F.when((latin > cyrillic * 1.5) & (latin >= 5), 18.0).otherwise(0.0)
+    def worth(t: Column, cyrillic: Column) -> Column:
+        most = F.length(t) * F.lit(0.08) >= F.lit(40.0)  # by its length alone
+        out = F.when(most, F.lit(40.0)).otherwise(F.least(F.lit(40.0), (cyrillic + digit_count(t)) * F.lit(0.7) + F.length(t) * F.lit(0.08)))
+        return out + F.when(cyrillic > 0, 8.0).otherwise(0.0) - F.when(mostly_latin(t), 18.0).otherwise(0.0)
 
     def of(t: Column) -> Column:
-        counts = F.struct(cyrillic_count(t).alias("c"), latin_count(t).alias("l"))
-        return F.when((t == "") | (t == UNREADABLE), F.lit(-100.0)).otherwise(let(counts, lambda n: worth(t, n["c"], n["l"])) - lost)
+        return F.when((t == "") | (t == UNREADABLE), F.lit(-100.0)).otherwise(let(cyrillic_count(t), lambda n: worth(t, n)) - lost)
 
-    return let(normalize_space(text), of)
+    return let(text if normal else normalize_space(text), of)
 
 
 def line_type(text: Column, x1: Column, y1: Column, x2: Column, y2: Column, width: Column, height: Column) -> Column:

@@ -8,16 +8,20 @@ from pyspark.sql import functions as F
 from scriptorium.functions import text as tx
 
 
-def inspect(df: DataFrame, text: str = "text") -> DataFrame:
-    """Adds ``inspected`` (struct text, flags) to lines. Each step is bound to a name, so that it is made once."""
-    steps = tx.let(
-        tx.headline_stripped(F.col(text)),
+def inspection(text: Column, normal: bool = False) -> Column:
+    """Struct (text, flags) of a line (``normal``: whose white space is normalised already). Each step is bound to a name, so that it is made once."""
+    return tx.let(
+        tx.headline_stripped(text, normal),
         lambda raw: tx.let(
             tx.truncate_repetition(raw),
-            lambda cut: tx.let(tx.repeated_pattern(cut["text"]), lambda loop: tx.inspected(raw, cut["text"], cut["truncated"], loop)),
+            lambda cut: tx.let(tx.repeated_pattern(cut["text"], normal=True), lambda loop: tx.inspected(raw, cut["text"], cut["truncated"], loop)),
         ),
     )
-    return df.withColumn("inspected", steps)
+
+
+def inspect(df: DataFrame, text: str = "text") -> DataFrame:
+    """Adds ``inspected`` (struct text, flags) to lines."""
+    return df.withColumn("inspected", inspection(F.col(text)))
 
 
 def suspicious(flags: Column) -> Column:

@@ -31,8 +31,22 @@ def with_reviews(lines: DataFrame, reviews: DataFrame, keys: list[str]) -> DataF
     alternatives. reviews: (keys, status, trocr, qwen3_vl, ..), trocr and qwen3_vl structs of a reading; a review that
     failed has no qwen3_vl. Lines are kept whether or not they were reviewed."""
     rest = [c for c in reviews.columns if c not in keys]
-    given = reviews.select(*keys, F.struct(*rest).alias("qwen_review"), F.struct("trocr", F.col("qwen3_vl").alias("qwen3-vl")).alias("alternatives"))
-    rows = lines.join(given, keys, "left")
+    return _recognizer(lines.join(reviews.select(*keys, *_review(rest)), keys, "left"))
+
+
+def with_own_reviews(rows: DataFrame, names: list[str], given: Column) -> DataFrame:
+    """As ``with_reviews``, of lines that have the columns of their review beside them: ``names`` are these (status,
+    trocr, qwen3_vl, ..), and ``given`` holds where there was a review. Nothing is joined."""
+    kept = [f"`{c}`" for c in rows.columns if c not in names]
+    return _recognizer(rows.select(*kept, *_review(names, given)))
+
+
+def _review(names: list[str], given: Column | None = None) -> list[Column]:
+    held = {"qwen_review": F.struct(*names), "alternatives": F.struct("trocr", F.col("qwen3_vl").alias("qwen3-vl"))}
+    return [(c if given is None else F.when(given, c)).alias(n) for n, c in held.items()]
+
+
+def _recognizer(rows: DataFrame) -> DataFrame:
     return rows.withColumn("primary_recognizer", F.when(F.col("qwen_review.status") == "accepted", "qwen3-vl-line-review").otherwise("trocr"))
 
 
