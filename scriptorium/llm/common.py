@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 #: Rows of one Arrow batch that a Python worker holds, and the bytes from which a batch ends before that; texts may be
 #: long, so both are far below Spark's defaults. A batch holds as much more as its last row does.
 ARROW_ROWS, ARROW_BYTES = 512, 16 << 20
+#: Rows of a staged table for which it has a file, where their number is about known.
+FILE_ROWS = 1 << 14
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,11 +52,16 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back: it cuts the lineage and survives lost executors.
 
-    The table stays there as long as the folder is kept, for frames made from it may be read at any time."""
+    The table stays there as long as the folder is kept, for frames made from it may be read at any time. rows: about
+    how many it has, so that a small one has few files, however many partitions hold it. In a local folder without
+    Hadoop's native library, an executor starts three processes for each file (chmod), and one that is just being
+    started shares the executor's memory, which is then seen twice. All rows are written in any case."""
     at = new_path(df.sparkSession, name)
+    if rows is not None:
+        df = df.coalesce(rows // FILE_ROWS + 1)
     df.write.option("compression", "zstd").parquet(at)
     back = df.sparkSession.read.schema(df.schema).parquet(at)
     back.staged_at = at

@@ -222,31 +222,33 @@ def _compare(table: pa.Table) -> pa.Table:
     return links_table(out)
 
 
-def _classes(df: DataFrame, id: str, text: str) -> tuple[DataFrame, DataFrame]:
+def _classes(df: DataFrame, id: str, text: str) -> tuple[DataFrame, DataFrame, int]:
     """The rows (doc, hash, set_key) of ``df``, hash that of the text, and the linked result of each class: (set_key, n,
-    class_id, keeper). keeper is the (doc, hash) of the row that stands for all that links reach: the smallest."""
+    class_id, keeper). keeper is the (doc, hash) of the row that stands for all that links reach: the smallest.
+    Last, the number of groups of ``GROUP_SHINGLES`` that the texts make."""
     spark = df.sparkSession
     small_batches(spark)
     docs = df.select(F.col(id).cast("bigint").alias("doc"), F.col(text).alias("txt")).withColumn("hash", F.xxhash64("txt"))
     sketched = docs.select("doc", "hash", F.arrow_udf(_sketch, SKETCH)("txt").alias("s"))
     rows = staged(sketched.select("doc", "hash", F.when(F.col("doc").isNotNull(), F.col("s.set_key")).alias("set_key"), "s.n_shingles", "s.bands"), "sketches")
+    n, shingles = rows.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     found = (
         rows.where(F.col("set_key").isNotNull())
         .groupBy("set_key")
         .agg(F.min(F.struct("doc", "hash")).alias("first"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
     )
     # Each task numbers the classes that it writes; the numbers stand once the table is written.
-    classes = staged(found.withColumn("node", F.monotonically_increasing_id()), "classes")
+    classes = staged(found.withColumn("node", F.monotonically_increasing_id()), "classes", n)
     entries = classes.select("node", F.explode("bands").alias("band"))
     buckets = entries.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1")
     met = entries.join(buckets, "band")
-    clusters = connected_components(met.where(F.col("node") != F.col("least")).select(F.col("node").alias("a"), F.col("least").alias("b")))
-    members = staged(clusters.join(classes, "node"), "members")
+    clusters = connected_components(met.where(F.col("node") != F.col("least")).select(F.col("node").alias("a"), F.col("least").alias("b")), rows=n)
+    members = staged(clusters.join(classes, "node"), "members", n)
     size = [F.count("*").alias("texts"), F.sum("n_shingles").alias("all")]
     blocks = F.greatest(F.ceil(F.col("texts") / BLOCK_TEXTS), F.ceil(F.col("all") / BLOCK_SHINGLES)).cast("int").alias("blocks")
-    sizes = staged(members.groupBy("component").agg(*size).select("component", "texts", blocks), "sizes")
+    sizes = staged(members.groupBy("component").agg(*size).select("component", "texts", blocks), "sizes", n)
     within = members.join(sizes.where("blocks > 1").select("component"), "component", "left_semi").select("component", "n_shingles", F.explode("bands").alias("band"))
-    within = staged(within.groupBy("component", "band").agg(*size).where("texts > 1").select("component", "band", "texts", blocks), "within")
+    within = staged(within.groupBy("component", "band").agg(*size).where("texts > 1").select("component", "band", "texts", blocks), "within", n)
     square = F.col("texts").cast("double") * F.col("texts")
     loose = within.groupBy("component").agg(F.sum(square).alias("pairs")).join(sizes, "component").where(F.col("pairs") < square).select("component", F.lit(True).alias("by_bucket"))
     groups = int((members.agg(F.sum("n_shingles")).first()[0] or 0) // GROUP_SHINGLES) + 1
@@ -274,22 +276,23 @@ def _classes(df: DataFrame, id: str, text: str) -> tuple[DataFrame, DataFrame]:
         )
     )
     links = staged(dealt.groupBy("group").applyInArrow(_compare, LINKS_SQL), "links")
-    result = linked_classes(classes, links, "doc")
+    result = linked_classes(classes, links, "doc", n)
     drop_staged(classes, clusters, members, sizes, within, links, *([content] if hasattr(content, "staged_at") else []))
-    return rows, result
+    return rows, result, shingles // GROUP_SHINGLES + 1
 
 
-def linked_classes(classes: DataFrame, links: DataFrame, id: str) -> DataFrame:
+def linked_classes(classes: DataFrame, links: DataFrame, id: str, rows: int | None = None) -> DataFrame:
     """(set_key, n, class_id, keeper) of classes (set_key, node, copies, first) and their ``LINKS``. first is a struct
-    with the field ``id`` before others; the least of those that links reach is the keeper, and its id the class's."""
-    joined = connected_components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    with the field ``id`` before others; the least of those that links reach is the keeper, and its id the class's.
+    rows: about how many classes there are, if known."""
+    joined = connected_components(links.select(F.col("node").alias("a"), F.col("root").alias("b")), rows=rows)
     sums = links.groupBy("node").agg(F.sum("n").alias("n"))
     all_ = classes.select("set_key", "node", "copies", "first").join(sums, "node", "left").join(joined, "node", "left")
     all_ = all_.select("set_key", "node", "first", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), "component")
     keepers = all_.where("component IS NOT NULL").groupBy(F.col("component").alias("_c")).agg(F.min("first").alias("keeper"))
     # Most classes have no component: they get keys of their own, so that they do not all go to the partition of null.
     out = all_.withColumn("_c", F.coalesce("component", -F.col("node") - 1)).join(keepers, "_c", "left").withColumn("keeper", F.coalesce("keeper", "first"))
-    out = staged(out.select("set_key", "n", F.col(f"keeper.{id}").alias("class_id"), "keeper"), "result")
+    out = staged(out.select("set_key", "n", F.col(f"keeper.{id}").alias("class_id"), "keeper"), "result", rows)
     drop_staged(joined)
     return out
 
@@ -307,7 +310,7 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     n_links counts the other rows linked directly, class_id is the smallest id reachable by links, its own included,
     and kept marks the rows with that id.
     """
-    rows, result = _classes(df, id, text)
+    rows, result, _ = _classes(df, id, text)
     return with_result(rows.select(F.col("doc").alias("id"), "set_key"), result).toDF("doc_id", "n_links", "class_id", "kept")
 
 
@@ -318,14 +321,14 @@ def keep_one(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
 
     A row goes for its own text only, so a text that shares its id with a copy stays; rows with a null id stay.
     """
-    rows, result = _classes(df, id, text)
+    rows, result, groups = _classes(df, id, text)
     fate = rows.where(F.col("set_key").isNotNull()).join(result.select("set_key", "keeper"), "set_key")
     away = fate.where((F.col("doc") != F.col("keeper.doc")) | (F.col("hash") != F.col("keeper.hash"))).select(F.col("doc").alias("_doc"), F.col("hash").alias("_hash"))
     inner = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row")).select("_row", F.col(f"_row.`{id}`").cast("bigint").alias("_doc"), F.xxhash64(F.col(f"_row.`{text}`")).alias("_hash"))
     others = [f"_row.`{f.name}`" for f in df.schema if f.name not in (id, text) and f.dataType.typeName() not in ("map", "variant")]
     once = inner.where(F.col("_doc").isNotNull()).groupBy("_doc", "_hash").agg(F.min_by("_row", F.xxhash64(F.lit(0), *others)).alias("_row"))
     left = once.join(away, ["_doc", "_hash"], "left_anti").select("_row").unionByName(inner.where(F.col("_doc").isNull()).select("_row"))
-    return left.select("_row.*")
+    return left.select("_row.*").coalesce(groups)  # few texts over many partitions would be as many files
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
