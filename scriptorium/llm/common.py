@@ -58,7 +58,8 @@ def staged(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     The table stays there as long as the folder is kept, for frames made from it may be read at any time. rows: about
     how many it has, so that a small one has few files, however many partitions hold it. In a local folder without
     Hadoop's native library, an executor starts three processes for each file (chmod), and one that is just being
-    started shares the executor's memory, which is then seen twice. All rows are written in any case."""
+    started shares the executor's memory, which is then seen twice. All rows are written in any case. Not for a ``df``
+    that Python makes after its last shuffle: that keeps memory for each partition until the task ends."""
     at = new_path(df.sparkSession, name)
     if rows is not None:
         df = df.coalesce(rows // FILE_ROWS + 1)

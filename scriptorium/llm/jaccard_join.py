@@ -327,8 +327,10 @@ def keep_one(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     inner = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row")).select("_row", F.col(f"_row.`{id}`").cast("bigint").alias("_doc"), F.xxhash64(F.col(f"_row.`{text}`")).alias("_hash"))
     others = [f"_row.`{f.name}`" for f in df.schema if f.name not in (id, text) and f.dataType.typeName() not in ("map", "variant")]
     once = inner.where(F.col("_doc").isNotNull()).groupBy("_doc", "_hash").agg(F.min_by("_row", F.xxhash64(F.lit(0), *others)).alias("_row"))
-    left = once.join(away, ["_doc", "_hash"], "left_anti").select("_row").unionByName(inner.where(F.col("_doc").isNull()).select("_row"))
-    return left.select("_row.*").coalesce(groups)  # few texts over many partitions would be as many files
+    # Few texts over many partitions would be as many files. Only what comes from a shuffle goes to fewer tasks: columns
+    # of ``df`` that Python makes would keep memory for each partition until the task ends.
+    left = once.join(away, ["_doc", "_hash"], "left_anti").select("_row").coalesce(groups)
+    return left.unionByName(inner.where(F.col("_doc").isNull()).select("_row")).select("_row.*")
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
